@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sonolode.llm import budget, encode
+from sonolode.llm import budget, encode, quantiles, skeleton
 from sonolode.session import table
 
 
@@ -18,12 +19,32 @@ def p3_text_tokens(spark: SparkSession, d: str) -> DataFrame:
     return budget.text_tokens(table(spark, d, "utterances"), table(spark, d, "documents"), table(spark, d, "registry"))
 
 
+def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return quantiles.percentiles(table(spark, d, "utterances"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return skeleton.look_alikes(table(spark, d, "utterances"), table(spark, d, "prompts"))
+
+
+def p5_forms(spark: SparkSession, d: str) -> DataFrame:
+    spoken = skeleton.consistent_form(table(spark, d, "utterances"), "utt_id").distinct()
+    fixed = skeleton.consistent_form(table(spark, d, "prompts"), "prompt_id")
+    label = [F.lit("utterances").alias("dataset"), F.col("utt_id").alias("id"), "form"]
+    return spoken.select(*label).unionByName(fixed.select(F.lit("prompts").alias("dataset"), F.col("prompt_id").alias("id"), "form"))
+
+
+def p5_variants(spark: SparkSession, d: str) -> DataFrame:
+    both = table(spark, d, "utterances").select("text").unionByName(table(spark, d, "prompts").select("text"))
+    return skeleton.variants(both)
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_documents(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p3_token_budget, p3_text_tokens, p6_ids]
+    found = [p3_token_budget, p3_text_tokens, p4_percentiles, p5_found, p5_forms, p5_variants, p6_ids]
     return {f.__name__: f for f in found}
 
 

@@ -7,10 +7,13 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: int | str = 8, name: str = "sonolode", **conf: str) -> SparkSession:
@@ -32,7 +35,23 @@ def local_session(cores: int | str = 8, name: str = "sonolode", **conf: str) ->
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="sonolode-code-")) / "sonolode-code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonolode.llm import budget, encode, packing, quantiles, skeleton
+from sonolode.llm import budget, encode, overlap, packing, quantiles, skeleton
 from sonolode.session import table
 
 
@@ -19,6 +19,14 @@ def p1_fills(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_clips(table(spark, d, "utterances"), table(spark, d, "containers"))[1]
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.overlaps(table(spark, d, "utterances"))
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.overlap_report(table(spark, d, "utterances"))
+
+
 def p3_token_budget(spark: SparkSession, d: str) -> DataFrame:
     return budget.token_budget(p3_text_tokens(spark, d))
 
@@ -52,7 +60,7 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p1_placements, p1_fills, p3_token_budget, p3_text_tokens, p4_percentiles, p5_found, p5_forms, p5_variants, p6_ids]
+    found = [p1_placements, p1_fills, p2_found, p2_report, p3_token_budget, p3_text_tokens, p4_percentiles, p5_found, p5_forms, p5_variants, p6_ids]
     return {f.__name__: f for f in found}
 
 

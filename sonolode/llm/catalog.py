@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonolode.llm import budget, encode, overlap, packing, quantiles, skeleton
+from sonolode.llm import budget, encode, mixing, overlap, packing, quantiles, skeleton
 from sonolode.session import table
 
 
@@ -59,8 +59,16 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_documents(table(spark, d, "documents"))
 
 
+def p7_choice(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p1_placements, p1_fills, p2_found, p2_report, p3_token_budget, p3_text_tokens, p4_percentiles, p5_found, p5_forms, p5_variants, p6_ids]
+    found = [p1_placements, p1_fills, p2_found, p2_report, p3_token_budget, p3_text_tokens, p4_percentiles, p5_found, p5_forms, p5_variants, p6_ids, p7_choice, p7_shares]
     return {f.__name__: f for f in found}
 
 

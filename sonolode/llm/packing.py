@@ -77,8 +77,9 @@ def _superstep(units: DataFrame, step: int) -> DataFrame:
     """(g, capacity, uid, head, fill) for units (g, capacity, uid, size), staged."""
     counts = units.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
     dealt = units.join(counts, "g").withColumn("block", F.pmod(F.xxhash64("uid", F.lit(step)), F.col("blocks")))
-    order = [F.col("g"), F.col("capacity"), F.col("block"), F.col("size").desc(), F.col("uid")]
-    ranged = dealt.select("g", "capacity", "block", "uid", "size").repartitionByRange(*order).sortWithinPartitions(*order)
+    # ranges end between blocks, so that the result does not hang on where Spark's sample puts their bounds
+    ranged = dealt.select("g", "capacity", "block", "uid", "size").repartitionByRange("g", "capacity", "block")
+    ranged = ranged.sortWithinPartitions("g", "capacity", "block", F.col("size").desc(), "uid")
     return staged(ranged.mapInArrow(_sweeps, "g bigint, capacity bigint, uid bigint, head bigint, fill bigint"), f"packed-{step}")
 
 
@@ -90,7 +91,7 @@ def pack_units(units: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     first = _superstep(units, 0)
     opened = first.filter("fill is not null").select("g", "capacity", "head", "fill")
-    merges, now = None, opened
+    merges, now, fills = None, opened, opened
     for step in range(1, REPEATS + 1):
         loose = now.filter(F.col("fill") <= F.col("capacity") * FULL).select("g", "capacity", F.col("head").alias("uid"), F.col("fill").alias("size"))
         out = _superstep(loose, step)
@@ -98,14 +99,12 @@ def pack_units(units: DataFrame) -> tuple[DataFrame, DataFrame]:
         if moved.isEmpty():
             break
         now = out.filter("fill is not null").select("g", "capacity", "head", "fill")
-        grown = now.select("g", F.col("head").alias("grown"), F.col("fill").alias("new_fill"))
         if merges is None:
             merges = moved
         else:
             later = moved.select("g", F.col("was").alias("root"), F.col("root").alias("next"))
             merges = merges.join(later, ["g", "root"], "left").select("g", "was", F.coalesce("next", "root").alias("root")).unionByName(moved)
-        latest = opened.select("g", "capacity", "head", "fill") if step == 1 else fills
-        fills = latest.join(grown, (latest.g == grown.g) & (latest.head == grown.grown), "left").select(latest.g, latest.capacity, "head", F.coalesce("new_fill", "fill").alias("fill"))
+        fills = fills.join(now.select("g", "head", F.col("fill").alias("new_fill")), ["g", "head"], "left").select("g", "capacity", "head", F.coalesce("new_fill", "fill").alias("fill"))
     if merges is None:
         became = opened.withColumn("root", F.col("head"))
         roots = opened

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonolode.llm import budget, encode, mixing, overlap, packing, quantiles, skeleton
+from sonolode.llm import budget, encode, mixing, overlap, packing, quantiles, skeleton, truncation
 from sonolode.session import table
 
 
@@ -67,8 +67,16 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_documents(table(spark, d, "documents"))
+
+
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_rates(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p1_placements, p1_fills, p2_found, p2_report, p3_token_budget, p3_text_tokens, p4_percentiles, p5_found, p5_forms, p5_variants, p6_ids, p7_choice, p7_shares]
+    found = [p1_placements, p1_fills, p2_found, p2_report, p3_token_budget, p3_text_tokens, p4_percentiles, p5_found, p5_forms, p5_variants, p6_ids, p7_choice, p7_shares, p8_found, p8_rates]
     return {f.__name__: f for f in found}
 
 

@@ -6,15 +6,14 @@ length, or over the few lengths below it that cuts at whole words or characters
 then treats the surplus as censored and is repeated. The share of the surplus is the prior probability of censoring there.
 
 Endings. The same documents, each cut at a hashed place (inside words, and between them), show what the ends of cut texts of the
-source look like: the sign at the end, whether the last word is one that the corpus knows, and how readily it closes a
-sentence. The ends of the source's documents are a mixture of those and of complete ends. Its share of cut texts is what the ends that
+source look like: the sign at the end, whether the last word is one that the corpus knows or the beginning of one, how readily it closes a
+sentence, and whether a phrase stands there that closes texts far more often than chance cuts hit it. The ends of the source's documents are a mixture of those and of complete ends. Its share of cut texts is what the ends that
 complete texts do not have allow for; the complete ends are what is left. At each limit an expectation-maximization over
 the same classes of ends splits its documents into complete and cut, starting at the censoring prior, and what neither kind of end
 explains there (a mark that the cutting system put behind the text) counts as cut.
 
 A document's posterior is that of its limit or else of its source, given its end; an end inside a tag, an entity, an
-escape or a character is a cut, and an end by a phrase that closes texts far more often than chance cuts hit it is complete.
-Only counts per source, class of end and length meet in one place; words are looked up by a join.
+escape or a character is a cut. Only counts per source, class of end and length meet in one place; words are looked up by a join.
 """
 
 from __future__ import annotations
@@ -72,8 +71,8 @@ def _shape(token: str) -> str:
     return "X" if bare[0].isupper() else "x"
 
 
-def ending(text: str) -> tuple[str, int | None, str | None, str | None]:
-    """(class of the end, hash of the last word if it needs a look-up, two closing phrases) of a text."""
+def ending(text: str) -> tuple[str, str | None, str | None, str | None]:
+    """(class of the end, last word if it needs a look-up, two phrases that may close texts) of a text."""
     tail = text[-400:]
     while tail and (tail[-1].isspace() or unicodedata.category(tail[-1]) == "Cf"):
         tail = tail[:-1]
@@ -102,7 +101,7 @@ def ending(text: str) -> tuple[str, int | None, str | None, str | None]:
     shape = _shape(last)
     if shape in ("0", "0x", "-"):
         return "number" + shape, None, *phrases
-    return "word" + shape, _hash(_bare(last)), *phrases
+    return "word" + shape, _bare(last), *phrases
 
 
 def _cuts(doc: int, text: str) -> tuple[str, str]:
@@ -115,28 +114,28 @@ def _cuts(doc: int, text: str) -> tuple[str, str]:
 
 
 def _tails(rows: DataFrame) -> DataFrame:
-    """(doc_id, source, n_chars, n_bytes, kind, cls, word, p1, p2): the end of each document, and of two cuts of it."""
+    """(same, doc_id, source, n_chars, n_bytes, kind, cls, word, p1, p2): the end of each document, and of two cuts of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for row, doc, source, text in zip(*(c.to_pylist() for c in b.columns)):
+            for same, doc, source, text in zip(*(c.to_pylist() for c in b.columns)):
                 n = len(text)
                 raw = len(text.encode("utf-8", "surrogatepass"))
                 size = raw - 3 * (n - len(text.rstrip("�")))
-                out.append((row, doc, source, n, size, 0, *ending(text)))
+                out.append((same, doc, source, n, size, 0, *ending(text)))
                 if n >= 20:
-                    out += [(row, doc, source, n, size, k, *ending(t)) for k, t in enumerate(_cuts(doc or 0, text), 1)]
+                    out += [(same, doc, source, n, size, k, *ending(t)) for k, t in enumerate(_cuts(doc or 0, text), 1)]
             if out:
                 columns = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["row", "doc_id", "source", "n_chars", "n_bytes", "kind", "cls", "word", "p1", "p2"])
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["same", "doc_id", "source", "n_chars", "n_bytes", "kind", "cls", "word", "p1", "p2"])
 
-    return rows.mapInArrow(run, "row bigint, doc_id bigint, source string, n_chars int, n_bytes int, kind int, cls string, word bigint, p1 string, p2 string")
+    return rows.mapInArrow(run, "same bigint, doc_id bigint, source string, n_chars int, n_bytes int, kind int, cls string, word string, p1 string, p2 string")
 
 
 def known_words(texts: DataFrame) -> DataFrame:
-    """(word, n, closes): hashed words that occur ``KNOWN`` times within texts, and how often they close a sentence there.
+    """(word, n, closes): words that occur ``KNOWN`` times within texts, and how often they close a sentence there.
 
     The last token of a text is left out. Tasks count their own texts first, so a word costs each task one row.
     """
@@ -149,16 +148,16 @@ def known_words(texts: DataFrame) -> DataFrame:
         n: Counter[int] = Counter()
         closes: Counter[int] = Counter()
         for token, count in seen.items():
-            word = _hash(_bare(token))
+            word = _bare(token)
             n[word] += count
             if token.rstrip(_CLOSERS)[-1:] in (".", "?", "!"):
                 closes[word] += count
         keys = list(n)
         for i in range(0, len(keys), 50_000):
             part = keys[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([n[k] for k in part], pa.int64()), pa.array([closes[k] for k in part], pa.int64())], names=["word", "n", "closes"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([n[k] for k in part], pa.int64()), pa.array([closes[k] for k in part], pa.int64())], names=["word", "n", "closes"])
 
-    return texts.mapInArrow(run, "word bigint, n bigint, closes bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("closes").alias("closes")).filter(f"n >= {KNOWN}")
+    return texts.mapInArrow(run, "word string, n bigint, closes bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("closes").alias("closes")).filter(f"n >= {KNOWN} and word <> ''")
 
 
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, surplus: np.ndarray) -> tuple[float, float]:
@@ -248,7 +247,7 @@ def split_ends(seen: np.ndarray, complete: np.ndarray, cuts: list[np.ndarray], s
 
 def cut_share(real: np.ndarray, cut: np.ndarray, default: float) -> float:
     """Share of cut texts that the ends allow for: no class of ends is rarer than the cut texts' part of it."""
-    fine = cut * real.sum() >= 10
+    fine = cut >= 0.03
     if not fine.any():
         return default
     # one standard error up, as the least of several ratios is biased down
@@ -291,16 +290,25 @@ def judge(documents: DataFrame) -> DataFrame:
     """(doc_id, source, n_chars, unit, limit, p_cut) for each document with a text.
 
     ``limit`` and ``unit`` name the limit that the length is at, null away from all. Null texts have no row; empty and blank
-    ones have p_cut 0. Rows that repeat a doc_id are judged each by themselves; a null source is a source like any other.
+    ones have p_cut 0. Equal texts share the highest posterior of their copies, under whatever source. Rows that repeat a
+    doc_id have a row each; a null source is a source like any other.
     """
     texts = documents.select(F.col("doc_id").cast("bigint"), F.coalesce(corpus_name("source"), F.lit("")).alias("source"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    tails = _tails(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text"))
+    tails = _tails(texts.select(F.xxhash64("text").alias("same"), "doc_id", "source", "text"))
     words = known_words(texts.select("text"))
+    words = staged(words, "known-words")
+    begun = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", 1, i))).alias("word"), F.lit(True).alias("begun")).filter("word <> ''").distinct()
     plain = tails.filter("word is null").withColumn("end", F.col("cls"))
     closing = F.col("closes") / F.col("n")
-    grade = F.when(F.col("n").isNull(), "?").when(closing < 0.002, "never").when(closing < 0.03, "seldom").when(closing < 0.15, "often").otherwise("mostly")
-    looked = tails.filter("word is not null").join(words, "word", "left").withColumn("end", F.concat_ws(":", "cls", grade)).select(plain.columns)
+    grade = F.when(F.col("n").isNull(), F.when(F.col("begun"), "begun").otherwise("?")).when(closing < 0.002, "never").when(closing < 0.03, "seldom").when(closing < 0.15, "often").otherwise("mostly")
+    looked = tails.filter("word is not null").join(words, "word", "left").join(begun, "word", "left").withColumn("end", F.concat_ws(":", "cls", grade)).select(plain.columns)
     tails = staged(plain.unionByName(looked), "tails")
+    for name in ("p1", "p2"):
+        closed, chance = F.sum((F.col("kind") == 0).cast("int")), F.sum((F.col("kind") == 1).cast("int"))
+        phrases = tails.filter(f"{name} is not null and cls <> 'stop'").groupBy(name).agg(closed.alias("c"), chance.alias("h")).filter(f"c >= {PHRASE} and c >= {PHRASE_ODDS} * (h + 1)").select(name, F.lit(True).alias(f"{name}_closes"))
+        tails = tails.join(phrases, name, "left")
+    tails = tails.withColumn("end", F.when((F.col("p1_closes") | F.col("p2_closes")) & ~F.col("cls").isin("stop", "broken", "ellipsis"), "phrase").otherwise(F.col("end")))
+    tails = tails.drop("p1", "p2", "p1_closes", "p2_closes", "word", "cls")
 
     real = tails.filter("kind = 0")
     sizes = real.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("size")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("size")))).alias("s")).select("source", "s.*")
@@ -318,14 +326,11 @@ def judge(documents: DataFrame) -> DataFrame:
 
     docs = placed.filter("kind = 0").join(odds, ["source", "zone", "end"], "left")
     p = F.when(F.col("end") == "none", F.lit(0.0)).otherwise(F.coalesce("p", F.lit(0.0)))
-    for name in ("p1", "p2"):
-        closed = F.sum(F.when(F.col("kind") == 0, 1).otherwise(0))
-        chance = F.sum(F.when(F.col("kind") == 1, 1).otherwise(0))
-        phrases = tails.filter(f"{name} is not null and end <> 'stop'").groupBy(name).agg(closed.alias("c"), chance.alias("h")).filter(f"c >= {PHRASE} and c >= {PHRASE_ODDS} * (h + 1)").select(name, F.lit(True).alias(f"{name}_closes"))
-        docs = docs.join(phrases, name, "left")
-        # a mark at a limit is what the cut left; away from limits a closing phrase completes a text
-        p = F.when(F.col(f"{name}_closes") & (F.col("zone") == -1) & (F.col("end") != "broken"), F.lit(0.0)).otherwise(p)
-    return docs.select("doc_id", F.nullif("source", F.lit("")).alias("source"), "n_chars", F.col("at.unit").alias("unit"), F.col("at.hi").alias("limit"), F.round(p, 6).alias("p_cut"), "end")
+    docs = docs.withColumn("p", p)
+    # a text that is cut where it came from is cut wherever it is repeated
+    copies = docs.filter("end <> 'none'").groupBy("same").agg(F.max("p").alias("most"), F.count(F.lit(1)).alias("copies")).filter("copies > 1 and most > 0").drop("copies")
+    docs = docs.join(copies, "same", "left")
+    return docs.select("doc_id", F.nullif("source", F.lit("")).alias("source"), "n_chars", F.col("at.unit").alias("unit"), F.col("at.hi").alias("limit"), F.round(F.coalesce("most", "p"), 6).alias("p_cut"), "end")
 
 
 def cut_documents(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

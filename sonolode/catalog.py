@@ -148,16 +148,14 @@ def split_assignment(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", hashing.shard_id(path).alias("shard_id"), hashing.split_bucket(path).alias("bucket"), hashing.assign_split(path).alias("split"))
 
 
-@query(f"""select utt_id, text, {LANGUAGE_SQL.format('language')} as language, nullif(lower(trim(split)), '') as split, {CORPUS_SQL.format('corpus')} as corpus, octet_length(audio.bytes) as n_bytes, audio.path as path, round(case when isfinite(duration_sec) then duration_sec::double end, 6) as duration_sec from utterances""")
+@query(f"""select text, {LANGUAGE_SQL.format('language')} as language, nullif(lower(trim(split)), '') as split, {CORPUS_SQL.format('corpus')} as corpus, octet_length(audio.bytes) as n_bytes, audio.path as path,
+ round(case when isfinite(duration_sec) then duration_sec::double end, 6) as duration_sec, round(case when isfinite(snr_db) then snr_db::double end, 6) as snr_db from utterances""")
 def target_schema(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "utterances").withColumnRenamed("text", "utterance")
     shaped = projection.reshape(raw, {"utterance": "transcript"}, ["speaker_id"], drop_first=False)
-    rows = projection.to_target(shaped.withColumn("transcription", F.col("transcript")), language_code("language"), F.nullif(F.lower(F.trim("split")), F.lit("")), corpus_name("corpus"))
-    # the identity is no part of the target schema: it rides along to make rows comparable
-    ids = rows.select("*", F.lit(None).alias("x")).drop("x")
-    both = shaped.select("utt_id", "audio", F.col("transcript").alias("text"), language_code("language").alias("language"), F.nullif(F.lower(F.trim("split")), F.lit("")).alias("split"), corpus_name("corpus").alias("corpus"), "duration_sec")
-    assert [f.dataType for f in ids.schema if f.name == "duration_sec"] == [shaped.schema["duration_sec"].dataType]
-    return both.select("utt_id", "text", "language", "split", "corpus", F.octet_length("audio.bytes").alias("n_bytes"), F.col("audio.path").alias("path"), F.round(metrics.finite("duration_sec"), 6).alias("duration_sec"))
+    rows = projection.to_target(shaped, language_code("language"), F.nullif(F.lower(F.trim("split")), F.lit("")), corpus_name("corpus"))
+    clip = [F.octet_length("audio.bytes").alias("n_bytes"), F.col("audio.path").alias("path")]
+    return rows.select("text", "language", "split", "corpus", *clip, *[F.round(metrics.finite(m), 6).alias(m) for m in ("duration_sec", "snr_db")])
 
 
 @query("""select corpus, t.unnest.key as source_language, coalesce(nullif(t.unnest.value, ''), t.unnest.key) as language, s.unnest.key as source_split, coalesce(nullif(s.unnest.value, ''), s.unnest.key) as split
@@ -293,13 +291,7 @@ def phrase_replacement(spark: SparkSession, d: str) -> DataFrame:
     """Pidgin documents with spoken variants replaced, longest phrase first."""
     rows = table(spark, d, "documents").filter(language_code("lang") == "pcm")
 
-    @F.arrow_udf("string")
-    def replaced(column):
-        import pyarrow as pa
-
-        return pa.array([None if t is None else texts.replace_phrases(t, PHRASES) for t in column.to_pylist()], pa.string())
-
-    return rows.select("doc_id", replaced("text").alias("text"))
+    return rows.select("doc_id", texts.with_phrases("text", PHRASES).alias("text"))
 
 
 @query()

@@ -6,9 +6,9 @@ whole and then commits it by renaming, so a reader or a restarted run sees the l
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STATES = ("pending", "completed", "uploaded", "failed")
@@ -91,25 +91,27 @@ class Ledger:
         fresh = unseen(known, new).select(F.lit(self.repo_id).alias("repo_id"), F.lit(self.repo_type).alias("repo_type"), "filename", F.lit("pending").alias("status"), F.array().cast("array<string>").alias("local_dir"))
         self._save(known.unionByName(fresh))
 
-    def _mark(self, filenames: Sequence[str], status: str, local_dir: Column | None = None) -> None:
+    def _mark(self, folders: Mapping[str, Sequence[str] | None], status: str) -> None:
+        """Set the status of the named files, and their folders where given; a file that is not there is an error."""
         known = self.entries()
-        changed = F.col("filename").isin(*filenames)
-        if known.filter(changed).count() < len(set(filenames)):
-            raise KeyError(f"not in the ledger: {sorted(set(filenames) - {r[0] for r in known.filter(changed).select('filename').collect()})}")
-        folder = F.col("local_dir") if local_dir is None else F.when(changed, local_dir).otherwise(F.col("local_dir"))
-        self._save(known.withColumns({"status": F.when(changed, status).otherwise(F.col("status")), "local_dir": folder}))
+        change = self.spark.createDataFrame([(n, list(f) if f is not None else None) for n, f in folders.items()], "filename string, __dir array<string>")
+        lost = [r[0] for r in change.join(known, "filename", "left_anti").select("filename").collect()]
+        if lost:
+            raise KeyError(f"not in the ledger: {sorted(lost)}")
+        both = known.join(change.withColumn("__hit", F.lit(True)), "filename", "left")
+        self._save(both.withColumns({"status": F.when(F.col("__hit"), status).otherwise(F.col("status")), "local_dir": F.coalesce("__dir", "local_dir")}))
 
     def mark_pending(self, filenames: Sequence[str]) -> None:
-        self._mark(filenames, "pending", F.array().cast("array<string>"))
+        self._mark({n: [] for n in filenames}, "pending")
 
-    def mark_completed(self, filename: str, local_dir: Sequence[str]) -> None:
-        self._mark([filename], "completed", F.array(*[F.lit(x) for x in local_dir]))
+    def mark_completed(self, folders: Mapping[str, Sequence[str]]) -> None:
+        self._mark(folders, "completed")
 
     def mark_uploaded(self, filenames: Sequence[str]) -> None:
-        self._mark(filenames, "uploaded")
+        self._mark(dict.fromkeys(filenames), "uploaded")
 
     def fail(self, filenames: Sequence[str]) -> None:
-        self._mark(filenames, "failed")
+        self._mark(dict.fromkeys(filenames), "failed")
 
     def claim(self) -> DataFrame:
         return claimable(self.entries())

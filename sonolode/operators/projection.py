@@ -45,8 +45,8 @@ def partition_language(language: Column) -> Column:
     return F.regexp_replace(language, "_ng$", "")
 
 
-def to_target(df: DataFrame, language: Column, split: Column, corpus: Column, audio: str = "audio") -> DataFrame:
-    """One select with exactly the target's columns and types; a cast that would lose a value raises.
+def to_target(df: DataFrame, language: Column, split: Column, corpus: Column, audio: str = "audio", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One select with exactly the target's columns and types, after those to keep; a cast that would lose a value raises.
 
     A missing metric is null; whatever columns the source has besides are not read.
     """
@@ -55,7 +55,7 @@ def to_target(df: DataFrame, language: Column, split: Column, corpus: Column, au
         raise ValueError(f"no text column among {df.columns}")
     given = {"text": F.col(text), "audio": F.col(audio), "language": language, "split": split, "corpus": corpus}
     columns = [given[f.name] if f.name in given else F.col(f.name) if f.name in df.columns else F.lit(None) for f in TARGET]
-    return df.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, TARGET)])
+    return df.select(*keep, *[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, TARGET)])
 
 
 def with_prefix(df: DataFrame, column: str, prefix: str, constants: Mapping[str, object] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -14,12 +15,18 @@ from sonolode.functions.text import normalized
 from sonolode.operators.ledger import Ledger
 from sonolode.operators.metrics import finalize, group_state, merge_states
 from sonolode.operators.projection import reshape, to_target
+from sonolode.schema import PARTITIONS
 from sonolode.session import staged
 from sonolode.sources.registry import LANGUAGES, Corpus
 from sonolode.sources.shards import file_shards
 
-#: Completed shards that are marked uploaded together.
-FLUSH = 25
+#: Shards that one job takes, and that are marked together.
+FLUSH = 500
+
+
+def _plain(path: str) -> str:
+    """A path with one slash after its scheme, as Spark and Hadoop write it differently."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
 
 
 @dataclass(frozen=True)
@@ -33,16 +40,16 @@ class Ingestion:
     remove_numbers: bool = False
 
     def prepare(self, raw: DataFrame, corpus: Corpus, language: str, split: str) -> DataFrame:
-        """Rows of one source language and split in the target schema; the plan runs nothing yet."""
+        """(shard, target schema) for rows of one source language and split; the plan runs nothing yet."""
         rows = reshape(raw, dict(corpus.columns), corpus.exclude_cols or (), drop_first=corpus.ingest_strategy == "base")
         target = corpus.language(language)
         text = normalized("transcript", F.lit(target), corpus.normalize, self.remove_numbers, self.homophones, {target: list(corpus.exclude_annotations.get(target, ()))})
         rows = rows.withColumn("transcription", text).drop("transcript")
         rows = with_metrics(rows.drop(*[c for c in ("text", "language", "split", "corpus") if c in rows.columns]))
-        return to_target(rows, F.lit(LANGUAGES.get(target, target)), F.lit(corpus.split(split)), F.lit(corpus.name))
+        return to_target(rows, F.lit(LANGUAGES.get(target, target)), F.lit(corpus.split(split)), F.lit(corpus.name), keep=("shard",))
 
     def states(self) -> DataFrame | None:
-        """(shard_id, keys, state) of all shards counted so far."""
+        """(shard, keys, state) of all shards counted so far."""
         try:
             return self.spark.read.parquet(f"{self.output}/state")
         except Exception as e:
@@ -53,8 +60,8 @@ class Ingestion:
     def run(self, corpus: Corpus) -> int:
         """Ingest every claimable shard of a corpus; how many. A second run does nothing.
 
-        Shards of one language and split are read, prepared and written in one job, each under its own folder, so the cluster
-        works on all files at once. Data and state are written before the ledger says so; after a failure between,
+        Up to ``FLUSH`` shards of one language and split are read, prepared and written in one job, each into its own folder,
+        so the cluster works on many files at once. Data and state are written before the ledger says so; after a failure between,
         the next run writes the same folders again and counts no shard twice.
         """
         ledger = Ledger(self.spark, f"{self.output}/ledger", corpus.repo_id)
@@ -63,30 +70,33 @@ class Ingestion:
         ledger.resume()
         pending = ledger.claim().filter("status = 'pending'").select(F.col("filename").alias("path"))
         todo = shards.join(pending, "path").select("language", "split", "path", "shard_id").collect()  # names of files
-        done = 0
+        done: dict[str, str] = {}
         groups: dict[tuple[str, str], list] = {}
         for r in todo:
             groups.setdefault((r["language"], r["split"]), []).append(r)
         for (language, split), rows in groups.items():
             for start in range(0, len(rows), FLUSH):
                 part = rows[start : start + FLUSH]
+                names = self.spark.createDataFrame([(_plain(r["path"]), r["shard_id"]) for r in part], "__file string, shard string")
+                raw = self.spark.read.option("mergeSchema", "true").parquet(*[r["path"] for r in part])
+                raw = raw.withColumn("__file", F.regexp_replace(F.col("_metadata.file_path"), "^(\\w+):/+", "$1:/"))
+                known = raw.join(F.broadcast(names), "__file").drop("__file")  # at most FLUSH rows
+                prepared = staged(self.prepare(known, corpus, language, split), "prepared")
+                sinks.write_dataset(prepared, f"{self.output}/data", mode="overwrite", partitions=("shard", *PARTITIONS))
+                if corpus.writes_manifest(split):
+                    sinks.write_manifest(prepared, f"{self.output}/manifest", partitions=("shard", *PARTITIONS))
+                self._count(prepared)
                 for r in part:
-                    prepared = staged(self.prepare(self.spark.read.parquet(r["path"]), corpus, language, split), f"shard-{r['shard_id']}")
-                    folder = f"{self.output}/data/{r['shard_id']}"
-                    sinks.write_dataset(prepared, folder, mode="overwrite")
-                    if corpus.writes_manifest(split):
-                        sinks.write_manifest(prepared, f"{self.output}/manifest/{r['shard_id']}")
-                    self._count(prepared, r["shard_id"])
-                    ledger.mark_completed(r["path"], [folder])
-                    done += 1
+                    done[r["path"]] = f"{self.output}/data/shard={r['shard_id']}"
+                ledger.mark_completed({r["path"]: [done[r["path"]]] for r in part})
                 ledger.mark_uploaded([r["path"] for r in part])
-        return done
+        return len(done)
 
-    def _count(self, prepared: DataFrame, shard: str) -> None:
-        state = group_state(prepared).withColumn("shard_id", F.lit(shard))
+    def _count(self, prepared: DataFrame) -> None:
+        state = group_state(prepared, ("shard", *PARTITIONS))
         known = self.states()
         if known is not None:
-            state = state.join(known.select("shard_id").distinct(), "shard_id", "left_anti")
+            state = state.join(known.select("shard").distinct(), "shard", "left_anti")
         state.coalesce(1).write.mode("append").parquet(f"{self.output}/state")
 
     def statistics(self) -> DataFrame:
@@ -94,4 +104,4 @@ class Ingestion:
         states = self.states()
         if states is None:
             raise FileNotFoundError(f"{self.output}/state")
-        return finalize(merge_states(states.drop("shard_id")))
+        return finalize(merge_states(states.drop("shard")))

@@ -22,21 +22,22 @@ def write_dataset(rows: DataFrame, root: str, mode: str = "append", rows_per_fil
     """A dataset in folders by corpus, split and language.
 
     Rows are rebalanced by the partition columns, so that each folder gets few files of fair size and a corpus with a third
-    of all rows is still written by many tasks.
+    of all rows is still written by many tasks. Mode ``overwrite`` replaces only the folders that the rows go to.
     """
     balanced = rows.hint("rebalance", *partitions)
-    balanced.write.mode(mode).option("maxRecordsPerFile", max(rows_per_file, MIN_ROWS_PER_FILE) * 10).partitionBy(*partitions).parquet(root)
+    balanced.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max(rows_per_file, MIN_ROWS_PER_FILE) * 10).partitionBy(*partitions).parquet(root)
 
 
-def manifest_lines(rows: DataFrame, text: str = "text") -> DataFrame:
-    """(corpus, split, language, line): texts that hold something, one line each."""
+def manifest_lines(rows: DataFrame, text: str = "text", partitions: Sequence[str] = PARTITIONS) -> DataFrame:
+    """(partitions, line): texts that hold something, one line each."""
     line = F.regexp_replace(F.regexp_replace(F.col(text), r"[\r\n]+", " "), f"^[{_SPACE}]+|[{_SPACE}]+$", "")
-    return rows.select(*PARTITIONS, line.alias("line")).filter("line <> ''")
+    return rows.select(*partitions, line.alias("line")).filter("line <> ''")
 
 
-def write_manifest(rows: DataFrame, root: str, text: str = "text") -> None:
-    """Text files in folders by corpus, split and language, written anew each time."""
-    manifest_lines(rows, text).write.mode("overwrite").partitionBy(*PARTITIONS).text(root)
+def write_manifest(rows: DataFrame, root: str, text: str = "text", partitions: Sequence[str] = PARTITIONS) -> None:
+    """Text files in folders by corpus, split and language; the folders that the rows go to are written anew."""
+    lines = manifest_lines(rows, text, partitions).hint("rebalance", *partitions)
+    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).text(root)
 
 
 def write_tsv(table: DataFrame, path: str) -> None:

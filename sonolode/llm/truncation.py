@@ -43,6 +43,8 @@ SIGNIFICANT, FEWEST, TIMES = 7.0, 10, 3.0
 MOST_LIMITS = 4
 #: Least posterior of a document that is reported.
 THRESHOLD = 0.5
+#: What is known of a source before any of its documents: so many texts, of which that share is cut.
+PRIOR_TEXTS, PRIOR_SHARE = 50, 0.02
 #: Documents that a phrase must close to count as a closing phrase, and its least odds against a chance cut.
 PHRASE, PHRASE_ODDS = 20, 20.0
 
@@ -245,13 +247,17 @@ def split_ends(seen: np.ndarray, complete: np.ndarray, cuts: list[np.ndarray], s
     return np.clip(1 - expected / np.maximum(seen, 1e-9), 0, 1)
 
 
-def cut_share(real: np.ndarray, cut: np.ndarray, default: float) -> float:
-    """Share of cut texts that the ends allow for: no class of ends is rarer than the cut texts' part of it."""
+def cut_share(real: np.ndarray, cut: np.ndarray) -> float:
+    """Share of cut texts that the ends allow for: no class of ends is rarer than the cut texts' part of it.
+
+    A source of few documents is judged with ``PRIOR_TEXTS`` more, of which the share ``PRIOR_SHARE`` is cut.
+    """
     fine = cut >= 0.03
     if not fine.any():
-        return default
+        return PRIOR_SHARE
     # one standard error up, as the least of several ratios is biased down
-    ratio = (real[fine] + np.sqrt(real[fine])) / (cut[fine] * real.sum())
+    seen = real[fine] + np.sqrt(real[fine]) + PRIOR_SHARE * PRIOR_TEXTS * cut[fine]
+    ratio = seen / (cut[fine] * (real.sum() + PRIOR_TEXTS))
     return float(min(0.5, max(1e-4, ratio.min())))
 
 
@@ -271,7 +277,7 @@ def _posteriors(pdf: pd.DataFrame) -> pd.DataFrame:
     real = np.where(broken, 0, counts(pdf[(pdf["kind"] == 0) & (pdf["zone"] == -1)]))
     char, word = (np.where(broken, 0, counts(pdf[pdf["kind"] == k])) + 0.05 for k in (1, 2))
     char, word = char / char.sum(), word / word.sum()
-    share = cut_share(real, char, 0.02)
+    share = cut_share(real, char)
     left = np.maximum(real - share * real.sum() * char, 0) + 0.01
     complete = left / left.sum()
     out = []

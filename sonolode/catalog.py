@@ -294,6 +294,18 @@ def phrase_replacement(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", texts.with_phrases("text", PHRASES).alias("text"))
 
 
+_APOSTROPHES = texts.char_class(texts.APOSTROPHES, java=True)
+_BASIC = "regexp_replace(regexp_replace(lower(nfc_normalize(text)), '\\([^)]*[0-9][^)]*\\)', ' ', 'g'), '&lt;|&gt;|&nbsp', '', 'g')"
+_DELETED = texts.char_class(texts.DELETED, java=True)
+_CLEAN = f"regexp_replace(regexp_replace(regexp_replace({_BASIC}, '[{_APOSTROPHES}]', chr(39), 'g'), '[{_PUNCT}]', ' ', 'g'), '[{_DELETED}]', '', 'g')"
+
+
+@query(f"select doc_id, coalesce(trim(regexp_replace(regexp_replace({_CLEAN}, '[^a-z0-9\\x27 ]', ' ', 'g'), ' +', ' ', 'g')), '') as text from documents")
+def text_normalized_eng(spark: SparkSession, d: str) -> DataFrame:
+    """All documents as if they were English, whose alphabet SQL can express."""
+    return table(spark, d, "documents").select("doc_id", texts.normalized("text", F.lit("eng")).alias("text"))
+
+
 @query()
 def text_normalized(spark: SparkSession, d: str) -> DataFrame:
     """Utterances in the form of their language; needs Unicode forms that SQL engines do not share, so held against goldens."""

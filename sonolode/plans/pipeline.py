@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,9 +90,30 @@ class Ingestion:
                 for r in part:
                     done[r["path"]] = f"{self.output}/data/shard={r['shard_id']}"
                 ledger.mark_completed({r["path"]: [done[r["path"]]] for r in part})
-                ledger.mark_uploaded([r["path"] for r in part])
         return len(done)
 
+    def publish(self, corpus: Corpus, commit: Callable[[Mapping[str, str]], None], **options) -> list[str]:
+        """Upload the output of completed shards; the shards that failed.
+
+        Shards are marked as uploaded before their files go, so that the ledger may go with them, and marked back
+        where a file fails. A shard whose files are gone goes back to pending instead.
+        """
+        ledger = Ledger(self.spark, f"{self.output}/ledger", corpus.repo_id)
+        ledger.resume()
+        ready = {r["filename"]: r["local_dir"] for r in ledger.claim().filter("status = 'completed'").collect()}  # names of shards
+        names = list(ready)
+        failed: list[str] = []
+        for start in range(0, len(names), FLUSH):
+            part = names[start : start + FLUSH]
+            ledger.mark_uploaded(part)
+            files = {str(f): shard for shard in part for folder in ready[shard] for f in Path(folder.removeprefix("file:")).rglob("*.parquet")}
+            lost = sinks.upload(sinks.plan_upload(list(files), self.output), commit, **options)
+            back = sorted({files[f] for f in lost})
+            if back:
+                ledger.mark_completed({shard: ready[shard] for shard in back})
+            failed += back
+        return failed
+
     def _count(self, prepared: DataFrame) -> None:
         state = group_state(prepared, ("shard", *PARTITIONS))
         known = self.states()

@@ -7,9 +7,10 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sonolode.functions.syllables import syllabified
 from sonolode.functions.text import SPACE, char_class
 from sonolode.operators.projection import defaulted, display_name, partition_language
 from sonolode.schema import PARTITIONS
@@ -44,6 +45,23 @@ def write_tsv(table: DataFrame, path: str) -> None:
     table.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True)
 
 
+def write_configs(tables: Mapping[str, DataFrame], root: str) -> None:
+    """Named tables, each in a folder of its own."""
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def syllable_csv(spark: SparkSession, source: str, target: str) -> None:
+    """A CSV of (id, transcription) or (ID, Target) as one of (ID, Target), the texts in syllables."""
+    rows = spark.read.csv(source, header=True, multiLine=True, quote='"', escape='"')
+    names = {c.lower(): c for c in rows.columns}
+    text = names.get("transcription") or names.get("target")
+    if "id" not in names or text is None:
+        raise ValueError(f"neither (id, transcription) nor (ID, Target): {rows.columns}")
+    out = rows.select(F.col(names["id"]).alias("ID"), syllabified(text).alias("Target"))
+    out.write.mode("overwrite").csv(target, header=True, quote='"', escape='"')
+
+
 def card_configs(registry: DataFrame) -> DataFrame:
     """(config, split, path): what a dataset card lists, from registry rows."""
     name = display_name(F.col("corpus"), F.col("repo_id"))

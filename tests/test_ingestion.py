@@ -51,6 +51,13 @@ def test_ingestion_runs_once(spark, tmp_path, corpus):
     assert (stats["train"]["count"], stats["validation"]["count"]) == (14, 7) and stats["train"]["language"] == "yor"
     assert stats["train"]["hours"] == pytest.approx(6 * 0.25 / 3600)
     assert run.run(corpus) == 0 and run.statistics().count() == 2
+
+    def broken(group):
+        raise OSError
+
+    assert len(run.publish(corpus, broken, tries=1)) == 3
+    assert run.publish(corpus, sinks.copy_to(f"{tmp_path}/remote")) == [] == run.publish(corpus, broken, tries=1)
+    assert spark.read.parquet(f"{tmp_path}/remote/data/data").count() == 21 and run.run(corpus) == 0
     data = shards.read_dataset(spark, f"{tmp_path}/out/data")
     assert data.count() == 21
     assert {r["text"] for r in data.select("text").distinct().collect()} == {""} | {f"te t number {i} line" for i in range(6)}
@@ -119,6 +126,18 @@ def test_upload_retries_and_reports(tmp_path):
     assert sinks.repository_name("hf://datasets/org/x/") == "org/x"
 
 
+def test_syllable_csv(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('id,transcription\n1,"Un nɔ́, ɖu nǔ"\n2,\n')
+    sinks.syllable_csv(spark, f"{tmp_path}/in.csv", f"{tmp_path}/out")
+    got = spark.read.csv(f"{tmp_path}/out", header=True).collect()
+    assert [(r["ID"], r["Target"] or "") for r in got] == [("1", "un nɔ1 ɖu nu3"), ("2", "")]
+    (tmp_path / "in.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError):
+        sinks.syllable_csv(spark, f"{tmp_path}/in.csv", f"{tmp_path}/out")
+    sinks.write_configs({"one": spark.range(3), "two": spark.range(2)}, f"{tmp_path}/c")
+    assert spark.read.parquet(f"{tmp_path}/c/two").count() == 2
+
+
 def test_card(spark, corpus):
     text = sinks.card(registry.registry_table(spark, {"demo": corpus}), "Demo", "cc-by-4.0", ["yo"])
     assert "- config_name: demo_yor" in text and "path: data/corpus=demo/split=validation/language=yor/*.parquet" in text

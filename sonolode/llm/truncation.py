@@ -39,6 +39,8 @@ KNOWN = 5
 WIDTHS = (1, 4, 16)
 #: A limit stands out by so many standard deviations, so many documents, and so many times the expected number.
 SIGNIFICANT, FEWEST, TIMES = 7.0, 10, 3.0
+#: No field limit is looked for above this length; longer texts count in the fit like all others.
+LONGEST = 1 << 20
 #: Limits per source and unit.
 MOST_LIMITS = 4
 #: Least posterior of a document that is reported.
@@ -187,6 +189,11 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, surplus: np.ndarray) ->
 
 def find_limits(lengths: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, float]]:
     """(lowest length, highest length, expected number of uncut documents) of each limit in a histogram of one source."""
+    beyond = lengths > LONGEST
+    far, far_counts = lengths[beyond], counts[beyond]
+    lengths, counts = lengths[~beyond], counts[~beyond]
+    if not len(lengths):
+        return []
     size = int(lengths.max()) + 40
     hist = np.zeros(size)
     hist[lengths] = counts
@@ -197,9 +204,9 @@ def find_limits(lengths: np.ndarray, counts: np.ndarray) -> list[tuple[int, int,
     taken[:20] = True
     for _ in range(MOST_LIMITS):
         held = hist > 0
-        mu, sd = fit_lengths(axis[held], hist[held], surplus[held])
+        mu, sd = fit_lengths(np.concatenate([axis[held], far]), np.concatenate([hist[held], far_counts]), np.concatenate([surplus[held], np.zeros(len(far))]))
         x = np.log(np.maximum(axis, 1))
-        density = np.exp(-0.5 * ((x - mu) / sd) ** 2) / (np.maximum(axis, 1) * sd * math.sqrt(2 * math.pi)) * hist.sum()
+        density = np.exp(-0.5 * ((x - mu) / sd) ** 2) / (np.maximum(axis, 1) * sd * math.sqrt(2 * math.pi)) * (hist.sum() + far_counts.sum())
         best = None
         for width in WIDTHS:
             seen, want = (np.convolve(v, np.ones(width))[:size] for v in (np.where(taken, 0, hist), density))

@@ -12,6 +12,9 @@ from functools import lru_cache
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 
+# Fixed value: the same pattern as the libraries of the rank files take it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 DEFAULT = "byte_bpe_50k"
 
 
@@ -30,12 +33,11 @@ def splitter():
 @lru_cache(maxsize=4)
 def rank_encoder(directory: str, name: str):
     """A tiktoken encoder of ``name``.tiktoken without special tokens; loaded once per worker."""
-    import public_tokenizers
     import tiktoken
 
     with open(os.path.join(directory, name + ".tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(maxsize=2)

@@ -57,6 +57,7 @@ def test_limits_and_fit():
     lengths, counts = np.unique(cut, return_counts=True)
     (lo, hi, want), *more = t.find_limits(lengths, counts.astype(float))
     assert (lo, hi, more) == (600, 600, []) and want < 100
+    assert t.find_limits(np.append(lengths, 10**9), np.append(counts, 1.0))[0][:2] == (600, 600) and t.find_limits(np.array([10**9]), np.array([50.0])) == []
     surplus = np.where(lengths == 600, counts - want, 0)
     mu, sd = t.fit_lengths(lengths, counts.astype(float), surplus)
     # the 70 % that are censored are only in part those beyond the limit, so the tail is a little heavy

@@ -1,7 +1,7 @@
 """Problem 6: the ids of every document under a public byte-level tokenizer.
 
-Each task splits its texts into words, keeps each distinct word once, and has DuckDB contract all of
-them together: a recursive query over token-position rows joins the merge table, contracts the leftmost
+Each task splits its texts into words, keeps each distinct word once, and has DuckDB contract all new ones
+together: a recursive query over token-position rows joins the merge table, contracts the leftmost
 occurrences of each word's minimum-rank pair, and leaves a word out of the next round once no pair of it
 can merge. Equal pairs of one word are contracted in one round, left to right without overlap; that equals
 one at a time, since a pair made with a merged token always ranks behind that merge. An ordered read of the
@@ -11,6 +11,8 @@ rows gives the ids of each word, and an index gather those of each document. Not
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from sonolode.llm import vocab
 
 #: Characters that are encoded together: bounds the rows of one recursive query, drops nothing.
 BATCH_CHARS = 4_000_000
+#: Encoded words that a worker keeps for its next texts; beyond, it starts anew.
+KEPT = 400_000
 
 _CONTRACT = """
 with recursive bpe(wid, pos, tok, done) as (
@@ -48,7 +52,7 @@ select wid, tok from bpe where done order by pos
 
 
 class WordEncoder:
-    """Ids of words by a recursive DuckDB query over the merge table."""
+    """Ids of words by a recursive DuckDB query over the merge table; words once encoded are kept, ``KEPT`` at most."""
 
     def __init__(self, directory: str, name: str):
         import duckdb
@@ -58,9 +62,14 @@ class WordEncoder:
         pair = (merges[:, 0].astype(np.int64) << 20) | merges[:, 1]
         self.db.register("given", pa.table({"pair": pair, "rank": merges[:, 2], "new": merges[:, 3]}))
         self.db.execute("create table merges as select * from given")
+        self.forget()
 
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids): the ids of word i are ids[offsets[i]:offsets[i + 1]]."""
+    def forget(self) -> None:
+        self.code: dict[str, int] = {}
+        self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, ids of all words)."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
         flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
@@ -68,30 +77,31 @@ class WordEncoder:
         self.db.register("start", start)
         out = self.db.sql(_CONTRACT).to_arrow_table()
         self.db.unregister("start")
-        wid = out.column("wid").to_numpy()
-        offsets = np.zeros(len(raw) + 1, dtype=np.int64)
-        np.cumsum(np.bincount(wid, minlength=len(raw)), out=offsets[1:])
-        return offsets, out.column("tok").to_numpy()
-
-
-def encode_texts(texts: list[str | None], encoder: WordEncoder) -> list[np.ndarray]:
-    """Ids per text; null and empty texts have none."""
-    split = vocab.splitter().findall
-    code: dict[str, int] = {}
-    pieces = [np.fromiter((code.setdefault(w, len(code)) for w in split(t)), dtype=np.int64) if t else np.empty(0, np.int64) for t in texts]
-    if not code:
-        return [np.empty(0, np.int32) for _ in texts]
-    offsets, ids = encoder(list(code))
-    sizes = np.diff(offsets)
-    out = []
-    for p in pieces:
-        n = sizes[p]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        # the position of each token: its word's offset plus its place within the word
-        at = np.repeat(offsets[p] - (ends - n), n) + np.arange(total)
-        out.append(ids[at] if total else np.empty(0, np.int32))
-    return out
+        return np.bincount(out.column("wid").to_numpy(), minlength=len(raw)), out.column("tok").to_numpy()
+
+    def texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids per text; null and empty texts have none."""
+        if len(self.code) > KEPT:
+            self.forget()
+        split, code, before = vocab.splitter().findall, self.code, len(self.code)
+        pieces = [np.fromiter((code.setdefault(w, len(code)) for w in split(t)), dtype=np.int64) if t else np.empty(0, np.int64) for t in texts]
+        if len(code) > before:
+            sizes, ids = self.encode(list(islice(code, before, None)))
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        starts = np.cumsum(self.sizes) - self.sizes
+        out = []
+        for p in pieces:
+            n = self.sizes[p]
+            ends = np.cumsum(n)
+            # the position of each token: its word's start plus its place within the word
+            out.append(self.ids[np.repeat(starts[p] - (ends - n), n) + np.arange(ends[-1])] if len(p) else np.empty(0, np.int32))
+        return out
+
+
+@lru_cache(maxsize=2)
+def word_encoder(directory: str, name: str) -> WordEncoder:
+    """One encoder per worker process, whatever number of tasks it runs."""
+    return WordEncoder(directory, name)
 
 
 def encode_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = vocab.DEFAULT, directory: str | None = None) -> DataFrame:
@@ -105,15 +115,12 @@ def encode_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
     kind = documents.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         held: list[pa.RecordBatch] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal encoder
-            encoder = encoder or WordEncoder(directory, tokenizer)
             t = pa.Table.from_batches(held)
-            lists = encode_texts(t.column(1).to_pylist(), encoder)
+            lists = word_encoder(directory, tokenizer).texts(t.column(1).to_pylist())
             offsets = np.zeros(len(lists) + 1, dtype=np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
             values = np.concatenate(lists) if lists else np.empty(0, np.int32)

@@ -31,7 +31,15 @@ def test_odd_texts(spark):
 @settings(max_examples=60, deadline=None)
 def test_any_text(texts):
     encoder = encode.WordEncoder(vocab.folder(), vocab.DEFAULT)
-    assert [x.tolist() for x in encode.encode_texts(texts, encoder)] == reference(texts)
+    assert [x.tolist() for x in encoder.texts(texts)] == reference(texts)
+
+
+def test_kept_words(monkeypatch):
+    monkeypatch.setattr(encode, "KEPT", 5)
+    encoder = encode.word_encoder(vocab.folder(), vocab.DEFAULT)
+    for _ in range(2):
+        for part in (ODD[:6], [], ODD[3:], [None, ""], ODD):
+            assert [x.tolist() for x in encoder.texts(part)] == reference(part)
 
 
 def test_the_other_library_agrees():
@@ -41,7 +49,7 @@ def test_the_other_library_agrees():
     tok.encode_special_tokens = True
     texts = [t for t in ODD if t]
     encoder = encode.WordEncoder(vocab.folder(), vocab.DEFAULT)
-    assert [x.tolist() for x in encode.encode_texts(texts, encoder)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.texts(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @given(st.text(alphabet="ab1 \n'ọ́.!  ", max_size=300), st.integers(1, 40))

@@ -16,7 +16,7 @@ from sonolode.functions import text as texts
 from sonolode.functions.names import CORPUS_SQL, LANGUAGE_SQL, corpus_name, language_code
 from sonolode.functions.syllables import syllabified
 from sonolode.operators import ledger, metrics, projection, sampling
-from sonolode.session import table
+from sonolode.session import shared_folder, table
 from sonolode.sources import flags, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,6 +233,22 @@ def partition_inventory(spark: SparkSession, d: str) -> DataFrame:
     return records(spark, d).groupBy(*metrics.KEYS).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("shard_id").alias("n_shards"))
 
 
+@query(f"with {_RECORDS} select corpus, split, language, count(*) as n_rows from records group by all")
+def dataset_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Records written in folders by corpus, split and language, and counted from what is read back."""
+    import uuid
+
+    root = f"{shared_folder(spark)}/dataset-{uuid.uuid4().hex}"
+    sinks.write_dataset(records(spark, d).select("text", *metrics.KEYS), root)
+    counted = shards.read_dataset(spark, root).groupBy(*metrics.KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(*[F.col(k).cast("string").alias(k) for k in metrics.KEYS], "n_rows")
+
+
+@query(f"with {_RECORDS} select utt_id, text, duration_sec from records where corpus = 'tonefield' and split = 'train' and language = 'yor'")
+def one_leaf(spark: SparkSession, d: str) -> DataFrame:
+    return shards.read_leaf(records(spark, d), {"corpus": "tonefield", "split": "train", "language": "yor"}, ("utt_id", "text", "duration_sec"))
+
+
 _LINE = f"regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^[{texts.char_class(texts.SPACE, java=True)}]+|[{texts.char_class(texts.SPACE, java=True)}]+$', '', 'g')"
 
 
@@ -281,7 +297,13 @@ for _name, (_f, _sql) in _NORMAL.items():
     _step(_name, _f, _sql)
 
 
-@query()
+# Without look-around a match takes the boundary along, so that of adjoining words every other one is left for a second pass.
+_GONE = "(^|[^\\p{L}\\p{N}_])(?:" + "|".join(UNUTTERED) + ")($|[^\\p{L}\\p{N}_])"
+_ONCE = f"regexp_replace(text, '{_GONE}', '\\1\\2', 'g')"
+_TWICE = f"regexp_replace({_ONCE}, '{_GONE}', '\\1\\2', 'g')"
+
+
+@query(f"select doc_id, trim(regexp_replace({_TWICE}, '[{_SPACE}]+', ' ', 'g')) as text from documents")
 def unuttered_removal(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", texts.without_words("text", UNUTTERED).alias("text"))
 

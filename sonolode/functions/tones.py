@@ -24,8 +24,11 @@ def characters(text: Column | str) -> Column:
 
 def tone_vector(text: Column | str) -> Column:
     """1 for each character with an acute accent, else -1 for one with a grave accent, else 0."""
-    high, low = (F.lit(carriers(m)) for m in ("́", "̀"))
-    return F.transform(characters(text), lambda c: F.when(F.instr(high, c) > 0, 1).when(F.instr(low, c) > 0, -1).otherwise(0))
+    high, low = carriers("\u0301"), carriers("\u0300")
+    low = "".join(c for c in low if c not in high)
+    # carriers become one of two private characters, so that a character is compared with those only
+    coded = F.translate(_col(text), high + low, "\ue001" * len(high) + "\ue002" * len(low))
+    return F.transform(characters(coded), lambda c: F.when(c == "\ue001", 1).when(c == "\ue002", -1).otherwise(0))
 
 
 def tone_errors(predicted: Column | str, reference: Column | str) -> Column:

@@ -42,8 +42,12 @@ def numbered(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
     cut = staged(df.repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id()), "ranges")
     counts = cut.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.select(*by, "__range", (F.sum("__n").over(Window.partitionBy(*(by or [F.lit(1)])).orderBy("__range")) - F.col("__n")).alias("__before"))
-    row = F.row_number().over(Window.partitionBy(*by, "__range").orderBy(*order)) - 1
-    return cut.join(before, [*by, "__range"]).withColumn(name, F.col("__before") + row).drop("__range", "__before")
+    same = F.col("a.__range") == F.col("b.__range")
+    for key in by:  # null is a group too
+        same = same & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+    row = F.row_number().over(Window.partitionBy(*[F.col(f"a.{key}") for key in by], F.col("a.__range")).orderBy(*[F.col(f"a.{c}") for c in order])) - 1
+    met = cut.alias("a").join(before.alias("b"), same)
+    return met.select(*[F.col(f"a.{c}") for c in df.columns], (F.col("b.__before") + row).alias(name))
 
 
 def interleave_plan(sizes: DataFrame, seed: int, leaf: Sequence[str] = ("corpus", "language")) -> DataFrame:

@@ -187,8 +187,8 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, surplus: np.ndarray) ->
     return mu, sd
 
 
-def find_limits(lengths: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, float]]:
-    """(lowest length, highest length, expected number of uncut documents) of each limit in a histogram of one source."""
+def find_limits(lengths: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, float, float]]:
+    """(lowest length, highest length, expected number of uncut documents, surplus over it) of each limit in a histogram of one source."""
     beyond = lengths > LONGEST
     far, far_counts = lengths[beyond], counts[beyond]
     lengths, counts = lengths[~beyond], counts[~beyond]
@@ -199,7 +199,7 @@ def find_limits(lengths: np.ndarray, counts: np.ndarray) -> list[tuple[int, int,
     hist[lengths] = counts
     surplus = np.zeros(size)
     axis = np.arange(size)
-    found: list[tuple[int, int, float]] = []
+    found: list[tuple[int, int, float, float]] = []
     taken = np.zeros(size, dtype=bool)
     taken[:20] = True
     for _ in range(MOST_LIMITS):
@@ -220,7 +220,7 @@ def find_limits(lengths: np.ndarray, counts: np.ndarray) -> list[tuple[int, int,
         if best is None:
             break
         _, lo, hi, want = best
-        found.append((max(lo, 0), hi, want))
+        found.append((max(lo, 0), hi, want, float(hist[max(lo, 0) : hi + 1].sum()) - want))
         taken[max(lo, 0) : hi + 1] = True
         inside = hist[max(lo, 0) : hi + 1]
         surplus[max(lo, 0) : hi + 1] = inside * max(0.0, 1 - want / inside.sum())
@@ -232,10 +232,8 @@ def _limits_of(pdf: pd.DataFrame) -> pd.DataFrame:
     for unit, part in pdf.groupby("unit"):
         part = part[part["size"] > 0]
         if len(part):
-            rows += [(pdf["source"].iloc[0], unit, lo, hi, want) for lo, hi, want in find_limits(part["size"].to_numpy(np.int64), part["n"].to_numpy(float))]
-    # a text that is as long in bytes as in characters shows a limit in both units: the sharper one stays
-    rows.sort(key=lambda r: (r[3] - r[2], r[1]))
-    return pd.DataFrame(rows, columns=["source", "unit", "lo", "hi", "want"])
+            rows += [(pdf["source"].iloc[0], unit, *limit) for limit in find_limits(part["size"].to_numpy(np.int64), part["n"].to_numpy(float))]
+    return pd.DataFrame(rows, columns=["source", "unit", "lo", "hi", "want", "surplus"])
 
 
 def split_ends(seen: np.ndarray, complete: np.ndarray, cuts: list[np.ndarray], start: float) -> np.ndarray:
@@ -326,11 +324,12 @@ def judge(documents: DataFrame) -> DataFrame:
     real = tails.filter("kind = 0")
     sizes = real.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("size")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("size")))).alias("s")).select("source", "s.*")
     hist = sizes.groupBy("source", "unit", "size").agg(F.count(F.lit(1)).alias("n"))
-    limits = hist.groupBy("source").applyInPandas(_limits_of, "source string, unit string, lo int, hi int, want double")
+    limits = hist.groupBy("source").applyInPandas(_limits_of, "source string, unit string, lo int, hi int, want double, surplus double")
     limits = staged(limits.withColumn("zone", F.monotonically_increasing_id()), "limits")  # a few rows per source
 
     size = F.when(F.col("unit") == "chars", F.col("n_chars")).otherwise(F.col("n_bytes"))
-    near = limits.groupBy("source").agg(F.sort_array(F.collect_list(F.struct((F.col("hi") - F.col("lo")).alias("width"), "zone", "unit", "lo", "hi", "want"))).alias("limits"))
+    # texts as long in bytes as in characters show a limit in both units; it is that of the unit in which it stands out more
+    near = limits.groupBy("source").agg(F.sort_array(F.collect_list(F.struct((-F.col("surplus")).alias("order"), "zone", "unit", "lo", "hi", "want"))).alias("limits"))
     own = F.filter("limits", lambda x: F.when(x["unit"] == "chars", F.col("n_chars")).otherwise(F.col("n_bytes")).between(x["lo"], x["hi"]))
     placed = tails.join(near, "source", "left").withColumn("at", F.try_element_at(own, F.lit(1))).drop("limits")
     placed = placed.withColumn("zone", F.coalesce(F.col("at.zone"), F.lit(-1)))

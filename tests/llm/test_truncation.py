@@ -55,7 +55,7 @@ def test_limits_and_fit():
     x = np.exp(rng.normal(6, 0.5, 20_000)).astype(int) + 20
     cut = np.where((x > 600) & (rng.random(20_000) < 0.7), 600, x)
     lengths, counts = np.unique(cut, return_counts=True)
-    (lo, hi, want), *more = t.find_limits(lengths, counts.astype(float))
+    (lo, hi, want, _), *more = t.find_limits(lengths, counts.astype(float))
     assert (lo, hi, more) == (600, 600, []) and want < 100
     assert t.find_limits(np.append(lengths, 10**9), np.append(counts, 1.0))[0][:2] == (600, 600) and t.find_limits(np.array([10**9]), np.array([50.0])) == []
     surplus = np.where(lengths == 600, counts - want, 0)

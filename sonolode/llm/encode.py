@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -26,6 +27,9 @@ BATCH_CHARS = 4_000_000
 #: Encoded words that a worker keeps for its next texts; beyond, it starts anew.
 KEPT = 400_000
 
+#: A word of more bytes, such as a pasted blob without a blank, is contracted through a heap instead: its rounds would be too many.
+LONG_WORD = 8192
+
 _CONTRACT = """
 with recursive bpe(wid, pos, tok, done) as (
     select wid, pos, tok, false from start
@@ -51,6 +55,32 @@ select wid, tok from bpe where done order by pos
 """
 
 
+def contract(tokens: list[int], merges: dict[int, tuple[int, int]]) -> list[int]:
+    """Merges of one word, minimum rank first and leftmost among equals, in n log n steps; ``merges``: pair to (rank, new)."""
+    after, before, alive = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1)), [True] * len(tokens)
+    heap: list[tuple[int, int, int]] = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < len(tokens) and (found := merges.get(tokens[i] << 20 | tokens[j])):
+            heappush(heap, (found[0], i, tokens[i] << 20 | tokens[j]))
+
+    for i in range(len(tokens) - 1):
+        offer(i)
+    while heap:
+        _, i, pair = heappop(heap)
+        j = after[i]
+        if not alive[i] or j >= len(tokens) or tokens[i] << 20 | tokens[j] != pair:
+            continue
+        tokens[i], alive[j], after[i] = merges[pair][1], False, after[j]
+        if after[j] < len(tokens):
+            before[after[j]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    return [t for t, a in zip(tokens, alive) if a]
+
+
 class WordEncoder:
     """Ids of words by a recursive DuckDB query over the merge table; words once encoded are kept, ``KEPT`` at most."""
 
@@ -62,6 +92,7 @@ class WordEncoder:
         pair = (merges[:, 0].astype(np.int64) << 20) | merges[:, 1]
         self.db.register("given", pa.table({"pair": pair, "rank": merges[:, 2], "new": merges[:, 3]}))
         self.db.execute("create table merges as select * from given")
+        self.pairs = dict(zip(pair.tolist(), map(tuple, merges[:, 2:].tolist())))
         self.forget()
 
     def forget(self) -> None:
@@ -71,6 +102,18 @@ class WordEncoder:
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, ids of all words)."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        if max(map(len, raw)) > LONG_WORD:
+            return self._with_long(raw)
+        return self._encode(raw)
+
+    def _with_long(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        short = [b for b in raw if len(b) <= LONG_WORD]
+        sizes, ids = self._encode(short) if short else (np.empty(0, np.int64), np.empty(0, np.int32))
+        parts = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(short) else [])
+        found = [next(parts) if len(b) <= LONG_WORD else np.array(contract(self.byte_ids[np.frombuffer(b, np.uint8)].tolist(), self.pairs), np.int32) for b in raw]
+        return np.array([len(f) for f in found]), np.concatenate(found)
+
+    def _encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
         flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
         start = pa.table({"wid": np.repeat(np.arange(len(raw), dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int32), "tok": self.byte_ids[flat]})

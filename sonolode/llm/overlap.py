@@ -71,7 +71,12 @@ def edits_within(a: list, b: list, most: int) -> bool:
     """Whether at most ``most`` insertions, deletions and replacements turn ``a`` into ``b``."""
     if abs(len(a) - len(b)) > most:
         return False
-    if a == b:
+    # what agrees at either end needs no edit
+    start = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    a, b = a[start:], b[start:]
+    end = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), min(len(a), len(b)))
+    a, b = a[: len(a) - end], b[: len(b) - end]
+    if not a or not b:
         return True
     big = most + 1
     row = [j if j <= most else big for j in range(len(b) + 1)]

@@ -42,6 +42,15 @@ def test_kept_words(monkeypatch):
             assert [x.tolist() for x in encoder.texts(part)] == reference(part)
 
 
+@pytest.mark.parametrize("limit", [1, 8, encode.LONG_WORD])
+def test_long_words(monkeypatch, limit):
+    monkeypatch.setattr(encode, "LONG_WORD", limit)
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abehinrst") for _ in range(n)) for n in (9, 200, 9000)] + ["=" * 9001, "short words", "", "ọ́" * 5000]
+    encoder = encode.WordEncoder(vocab.folder(), vocab.DEFAULT)
+    assert [x.tolist() for x in encoder.texts(texts)] == reference(texts)
+
+
 def test_the_other_library_agrees():
     from tokenizers import Tokenizer
 

@@ -44,7 +44,7 @@ def prototype(ch: str) -> str:
         return ""
     if kind == "Zs" or ch in "\t\x0b\x0c\x1c\x1d\x1e\x1f":
         return " "
-    if ch in "\x85  \r":
+    if ch in "\x85\u2028\u2029\r":
         return "\n"
     if ch in _APOSTROPHES:
         return "'"

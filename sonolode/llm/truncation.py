@@ -41,8 +41,8 @@ WIDTHS = (1, 4, 16)
 SIGNIFICANT, FEWEST, TIMES = 7.0, 10, 3.0
 #: No field limit is looked for above this length; longer texts count in the fit like all others.
 LONGEST = 1 << 20
-#: Limits per source and unit.
-MOST_LIMITS = 4
+#: The search for limits of a source and unit ends here, if it has not ended for want of any that stand out.
+MOST_LIMITS = 16
 #: Least posterior of a document that is reported.
 THRESHOLD = 0.5
 #: What is known of a source before any of its documents: so many texts, of which that share is cut.

@@ -57,7 +57,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
 _METRIC_LIST = ", ".join(f"min({m}) as {m}" for m in audio.METRICS)
 _RECORDS = f"""records as (select utt_id, min(text) as text, min(speaker_id) as speaker_id, min(shard_id) as shard_id, min({CORPUS_SQL.format('corpus')}) as corpus,
  min({LANGUAGE_SQL.format('language')}) as language, min(nullif(lower(trim(split)), '')) as split, {_METRIC_LIST} from utterances group by utt_id)"""
-_LONG = "long as (" + " union all ".join(f"select corpus, split, language, shard_id, '{m}' as metric, case when isfinite({m}) then {m}::double end as x from records" for m in audio.METRICS) + ")"
+_LONG = "long as (" + " union all ".join(f"select corpus, split, language, shard_id, '{m}' as metric, case when isfinite({m}) then {m}::double + 0.0::double end as x from records" for m in audio.METRICS) + ")"
 
 
 def _wide(extra: str = "") -> str:
@@ -149,7 +149,7 @@ def split_assignment(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""select text, {LANGUAGE_SQL.format('language')} as language, nullif(lower(trim(split)), '') as split, {CORPUS_SQL.format('corpus')} as corpus, octet_length(audio.bytes) as n_bytes, audio.path as path,
- round(case when isfinite(duration_sec) then duration_sec::double end, 6) as duration_sec, round(case when isfinite(snr_db) then snr_db::double end, 6) as snr_db from utterances""")
+ round(case when isfinite(duration_sec) then duration_sec::double + 0.0::double end, 6) as duration_sec, round(case when isfinite(snr_db) then snr_db::double + 0.0::double end, 6) as snr_db from utterances""")
 def target_schema(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "utterances").withColumnRenamed("text", "utterance")
     shaped = projection.reshape(raw, {"utterance": "transcript"}, ["speaker_id"], drop_first=False)

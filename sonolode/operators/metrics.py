@@ -18,8 +18,8 @@ KEYS = ("corpus", "split", "language")
 
 
 def finite(c: Column | str) -> Column:
-    """The value as double, null where it is NaN or infinite."""
-    x = _col(c).cast("double")
+    """The value as double, null where it is NaN or infinite; negative zero is zero."""
+    x = _col(c).cast("double") + F.lit(0.0)
     return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
 
 
@@ -61,39 +61,36 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     """
     from sonolode.session import staged
 
-    pairs = [x for m in metrics for x in (F.lit(m), finite(m))]
-    names = list(keys)
-    melted = df.select(*keys, F.explode(F.create_map(*pairs)).alias("metric", "x")).filter("x is not null")
+    group = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys])
+    named = df.select(*keys, group.alias("g")).groupBy("g").agg(*[F.min(k).alias(k) for k in keys])
+    values = F.array(*[F.struct(F.lit(i).alias("m"), finite(m).alias("x")) for i, m in enumerate(metrics)])
+    melted = df.select(group.alias("g"), F.explode(values).alias("v")).select("g", "v.m", "v.x").filter("x is not null")
     scaled = F.log2(1 + F.abs("x") * 1e6) * 64
-    counted = staged(melted.withColumn("cell", F.floor(F.when(F.col("x") < 0, -scaled).otherwise(scaled)).cast("int")).groupBy(*keys, "metric", "cell", "x").agg(F.count(F.lit(1)).alias("n")), "value-counts")
-    group = [*keys, "metric"]
-    cells = counted.groupBy(*group, "cell").agg(F.sum("n").alias("in_cell"))
-    over = Window.partitionBy(*group)
+    cell = F.floor(F.when(F.col("x") < 0, -scaled).otherwise(scaled)).cast("int")
+    counted = staged(melted.withColumn("cell", cell).groupBy("g", "m", "cell", "x").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    cells = counted.groupBy("g", "m", "cell").agg(F.sum("n").alias("in_cell"))
+    over = Window.partitionBy("g", "m")
     cells = cells.withColumn("before", F.sum("in_cell").over(over.orderBy("cell")) - F.col("in_cell")).withColumn("total", F.sum("in_cell").over(over))
-    wanted = cells.withColumn("q", F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.rint((F.col("total") - 1) * F.lit(q)).alias("rank")) for k, q in shares.items()])))
-    wanted = wanted.filter((F.col("q.rank") >= F.col("before")) & (F.col("q.rank") < F.col("before") + F.col("in_cell")))
-    inside = wanted.select(*group, "cell", "before", F.col("q.name").alias("name"), F.col("q.rank").alias("rank"))
-    left, right = counted.alias("c"), inside.alias("w")
-    same = F.lit(True)
-    for k in [*group, "cell"]:
-        same = same & F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}"))
-    met = left.join(right, same).select(*[F.col(f"c.{k}") for k in [*group, "cell"]], "x", "n", "before", "name", "rank")
-    start = F.col("before") + F.sum("n").over(Window.partitionBy(*group, "cell", "name").orderBy("x")) - F.col("n")
+    ranks = F.array(*[F.struct(F.lit(k).alias("name"), F.rint((F.col("total") - 1) * F.lit(q)).alias("rank")) for k, q in shares.items()])
+    wanted = cells.withColumn("q", F.explode(ranks)).filter((F.col("q.rank") >= F.col("before")) & (F.col("q.rank") < F.col("before") + F.col("in_cell")))
+    met = counted.join(wanted.select("g", "m", "cell", "before", "q.name", "q.rank"), ["g", "m", "cell"])
+    start = F.col("before") + F.sum("n").over(Window.partitionBy("g", "m", "cell", "name").orderBy("x")) - F.col("n")
     hit = met.withColumn("start", start).filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n")))
-    return hit.groupBy(*names, "metric").pivot("name", list(shares)).agg(F.first("x"))
+    found = hit.groupBy("g", "m").pivot("name", list(shares)).agg(F.first("x"))
+    label = F.element_at(F.array(*[F.lit(m) for m in metrics]), F.col("m") + 1)
+    return found.join(named, "g").select(*keys, label.alias("metric"), *shares)
 
 
 def rich_metrics(df: DataFrame, keys: Sequence[str] = KEYS, metrics: Sequence[str] = METRICS) -> DataFrame:
-    """(keys, metric, count, n, mean, std, p10, median_low, median_high, p90) in long form; std is that of a sample."""
-    both = exact_quantiles(df, keys, metrics, {"p10": 0.1, "p50": 0.5, "p90": 0.9})
-    pairs = [x for m in metrics for x in (F.lit(m), finite(m))]
-    melted = df.select(*keys, F.explode(F.create_map(*pairs)).alias("metric", "x"))
-    plain = melted.groupBy(*keys, "metric").agg(F.count(F.lit(1)).alias("count"), F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"))
-    a, b = plain.alias("a"), both.alias("b")
-    same = F.lit(True)
-    for k in [*keys, "metric"]:
+    """(keys, metric, count, n, mean, std, p10, p50, p90) in long form; std is that of a sample."""
+    ranks = exact_quantiles(df, keys, metrics, {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+    plain = [F.struct(F.lit(m).alias("metric"), F.count(F.lit(1)).alias("count"), F.count(finite(m)).alias("n"), F.avg(finite(m)).alias("mean"), F.stddev_samp(finite(m)).alias("std")).alias(f"s{i}") for i, m in enumerate(metrics)]
+    wide = df.groupBy(*keys).agg(*plain)
+    long = wide.select(*keys, F.explode(F.array(*[F.col(f"s{i}") for i in range(len(metrics))])).alias("s")).select(*keys, "s.*")
+    same = F.col("a.metric") == F.col("b.metric")
+    for k in keys:
         same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    return a.join(b, same, "left").select("a.*", "b.p10", "b.p50", "b.p90")
+    return long.alias("a").join(ranks.alias("b"), same, "left").select("a.*", "b.p10", "b.p50", "b.p90")
 
 
 def hours_with_totals(df: DataFrame, hours: Column | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ import io
 import math
 import struct
 import wave
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -35,27 +36,72 @@ class Framing:
     spectra: int = 300
 
 
+def chunks(data: bytes) -> Iterator[tuple[bytes, int, int]]:
+    """(name, start, end) of each chunk of a WAV, found by walking from one to the next; none of what is no WAV.
+
+    The outer size is not trusted, as writers that stream leave it stale, and a chunk that runs past the end is cut there.
+    """
+    if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
+        return
+    at = 12
+    while at + 8 <= len(data):
+        name, size = struct.unpack_from("<4sI", data, at)
+        yield name, at + 8, min(len(data), at + 8 + size)
+        at += 8 + size + size % 2
+
+
+@dataclass(frozen=True)
+class Header:
+    """What the ``fmt `` chunk says: kind 1 is whole numbers, 3 floating point."""
+
+    kind: int
+    channels: int
+    rate: int
+    bits: int
+
+
+def wav_format(data: bytes) -> Header | None:
+    for name, start, end in chunks(data):
+        if name == b"fmt " and end - start >= 16:
+            kind, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", data, start)
+            if kind == 0xFFFE and end - start >= 26:  # the extended form names the kind at the start of its identifier
+                kind = struct.unpack_from("<H", data, start + 24)[0]
+            return Header(kind, channels, rate, bits)
+    return None
+
+
+def _samples(raw: bytes, kind: int, bits: int) -> np.ndarray:
+    width = bits // 8
+    raw = raw[: len(raw) // width * width]
+    if kind == 3:
+        return np.frombuffer(raw, {32: "<f4", 64: "<f8"}[bits]).astype(np.float32)
+    if bits == 8:
+        return (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128
+    if bits == 24:
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+        return (wide.view("<i4")[:, 0] / 2.0**31).astype(np.float32)
+    return (np.frombuffer(raw, {16: "<i2", 32: "<i4"}[bits]) / 2.0 ** (bits - 1)).astype(np.float32)
+
+
 def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
-    """(samples from -1 to 1, rate) of a mono PCM WAV; ValueError for anything else."""
-    try:
-        with wave.open(io.BytesIO(data)) as w:
-            channels, width, rate, n = w.getnchannels(), w.getsampwidth(), w.getframerate(), w.getnframes()
-            raw = w.readframes(n)
-    except (wave.Error, EOFError, struct.error) as e:
-        raise ValueError(str(e)) from e
-    if channels != 1:
-        raise ValueError(f"{channels} channels")
-    if rate <= 0:
+    """(samples from -1 to 1, rate) of a mono WAV of 8, 16, 24 or 32 bit numbers or of floats; ValueError for anything else."""
+    head = wav_format(data)
+    if head is None:
+        raise ValueError("no WAV")
+    if head.channels != 1:
+        raise ValueError(f"{head.channels} channels")
+    if head.rate <= 0:
         raise ValueError("no sample rate")
-    raw = raw[: len(raw) // width * width]
-    if width == 1:
-        return (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128, rate
-    if width == 3:
-        parts = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
-        whole = (parts[:, 0] | parts[:, 1] << 8 | parts[:, 2] << 16) << 8
-        return (whole / 2**31).astype(np.float32), rate
-    kind = {2: "<i2", 4: "<i4"}[width]
-    return (np.frombuffer(raw, kind) / float(2 ** (8 * width - 1))).astype(np.float32), rate
+    if (head.kind, head.bits) not in ((1, 8), (1, 16), (1, 24), (1, 32), (3, 32), (3, 64)):
+        raise ValueError(f"{head.bits} bits of kind {head.kind}")
+    body = next(((start, end) for name, start, end in chunks(data) if name == b"data"), None)
+    if body is None:
+        raise ValueError("no samples")
+    samples = _samples(data[slice(*body)], head.kind, head.bits)
+    if not np.isfinite(samples).all():
+        raise ValueError("samples that are no numbers")
+    return samples, head.rate
 
 
 @lru_cache(maxsize=32)
@@ -100,9 +146,12 @@ def decibels(rms: float) -> float:
 def clip_metrics(data: bytes | None, framing: Framing = Framing()) -> tuple[list[float | None], bytes | None]:
     """(the six metrics in the order of ``METRICS``, new bytes if the clip was resampled); all null for what is no mono WAV."""
     try:
-        samples, rate = decode_wav(data or b"")
-    except ValueError:
+        return _measured(*decode_wav(data or b""), framing)
+    except (ValueError, ArithmeticError, MemoryError):  # one clip that cannot be measured ends no job
         return [None] * 6, None
+
+
+def _measured(samples: np.ndarray, rate: int, framing: Framing) -> tuple[list[float | None], bytes | None]:
     new = None
     if rate != framing.rate:
         samples = resample(samples, rate, framing.rate)
@@ -160,15 +209,12 @@ def wav_header(df: DataFrame, content: str = "content", keep: tuple[str, ...] =
         found = [_header(h or b"") for h in heads.to_pylist()]
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.int32())], names=["rate", "channels"])
 
-    return df.select(*keep, run(F.substring(F.col(content), 1, 4096)).alias("h")).select(*keep, "h.*")
+    return df.select(*keep, run(F.col(content)).alias("h")).select(*keep, "h.*")
 
 
-def _header(head: bytes) -> tuple[int | None, int | None]:
-    at = head.find(b"fmt ", 12) if head[:4] == b"RIFF" and head[8:12] == b"WAVE" else -1
-    if at < 0 or len(head) < at + 16:
-        return None, None
-    channels, rate = struct.unpack_from("<HI", head, at + 10)
-    return rate, channels
+def _header(data: bytes) -> tuple[int | None, int | None]:
+    head = wav_format(data)
+    return (head.rate, head.channels) if head and head.rate < 1 << 31 else (None, None)
 
 
 # Native expressions over arrays of samples.

@@ -66,3 +66,47 @@ def test_native_levels_equal_numpy(spark):
         mask = mask if mask.any() else np.ones_like(mask)
         level = math.sqrt((rms[mask] ** 2).mean())
         assert r["snr_db"] == pytest.approx(20 * math.log10(level / noise)) and r["speech_ratio"] == pytest.approx(mask.mean())
+
+
+def wav(fmt, body, before=b"", size=None):
+    """A WAV of a format chunk and samples, with chunks before the format, and what the outer size says."""
+    import struct
+
+    inner = b"WAVE" + before + b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"data" + struct.pack("<I", len(body)) + body
+    return b"RIFF" + struct.pack("<I", len(inner) if size is None else size) + inner
+
+
+def fmt(bits, kind=1, channels=1, rate=16_000, more=b""):
+    import struct
+
+    return struct.pack("<HHIIHH", kind, channels, rate, rate * bits // 8, bits // 8, bits) + more
+
+
+WAVE = np.sin(np.arange(800) / 7).astype(np.float32) * 0.5
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        wav(fmt(16), (WAVE * 32768).astype("<i2").tobytes(), size=4),
+        wav(fmt(16), (WAVE * 32768).astype("<i2").tobytes(), before=b"LIST" + (9001).to_bytes(4, "little") + b"fmt " + b"\x01" * 8998),
+        wav(fmt(8), (WAVE * 128 + 128).astype(np.uint8).tobytes()),
+        wav(fmt(24), b"".join(int(x * 2**23).to_bytes(3, "little", signed=True) for x in WAVE)),
+        wav(fmt(32), (WAVE * 2.0**31).astype("<i4").tobytes()),
+        wav(fmt(32, 3), WAVE.astype("<f4").tobytes()),
+        wav(fmt(64, 3), WAVE.astype("<f8").tobytes()),
+        wav(fmt(16, 0xFFFE, more=b"\x16\0\x10\0\x04\0\0\0\x01\0" + b"\0" * 14), (WAVE * 32768).astype("<i2").tobytes()),
+    ],
+)
+def test_forms_of_wav(data):
+    samples, rate = audio.decode_wav(data)
+    assert rate == 16_000 and np.abs(samples - WAVE).max() < 0.01
+    assert audio._header(data) == (16_000, 1)
+    assert audio.clip_metrics(data)[0][4] == 0.05
+
+
+@pytest.mark.parametrize("data", [wav(fmt(40), b"x" * 100), wav(fmt(16, 6), b"x" * 100), wav(fmt(0), b"x" * 10), wav(fmt(16, rate=0), b"x" * 10), wav(fmt(16, channels=0), b"x" * 10), wav(fmt(32, 3), b"\xff" * 40), wav(b"\x01\0", b"x"), b"RIFF\0\0\0\0WAVEdata\xff\xff\xff\xff"])
+def test_bad_clips_give_nulls(spark, data):
+    assert audio.clip_metrics(data) == ([None] * 6, None)
+    df = spark.createDataFrame([(1, (data, "a"))], "id int, audio struct<bytes binary, path string>")
+    assert audio.with_metrics(df).first()["duration_sec"] is None

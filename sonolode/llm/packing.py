@@ -155,7 +155,7 @@ def _pack_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # Rows of a sweep: what 0 a free place at the end of a range, 1 a clip that is left, 2 a clip and the container it goes to,
-# 3 the numbers of clips left (nth) and places free (size) of the first or last group of a range.
+# 3 the numbers of clips left (nth) and places free (size) of the first or last group of a range, 4 those of clips left (nth) and placed (size).
 _SWEPT = "what int, g bigint, part int, nth bigint, number bigint, uid bigint, size bigint"
 
 
@@ -175,6 +175,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fill = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(np.asarray(x, np.int64))
         return pa.RecordBatch.from_arrays([pa.array(np.full(n, what, np.int32)), pa.array(np.full(n, group, np.int64)), pa.array(np.full(n, part, np.int32)), fill(nth), fill(number), fill(uid), fill(size)], names=["what", "g", "part", "nth", "number", "uid", "size"])
 
+    n_left = n_placed = 0
     for k, (start, end) in enumerate(zip(cuts, cuts[1:])):
         group, of_clip = int(g[start]), clip[start:end]
         gap, taker = successors(of_clip)
@@ -190,6 +191,8 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(free) and k == len(cuts) - 2:
                 yield out(0, group, np.arange(len(free)), ids[free], None, value[free])
             yield out(3, group, [len(left)], None, None, [len(free)])
+        n_left, n_placed = n_left + len(left), n_placed + len(gap)
+    yield out(4, int(g[0]), [n_left], None, None, [n_placed])
 
 
 def _handed_on(edges: list) -> list[tuple[int, int, int, int, int, int]]:
@@ -241,17 +244,20 @@ class _Packing:
         first = len(self.placed)
         fresh: list[DataFrame] = []
         while True:
+            n_left = 1
             while active is not None:
-                placed, left = self._superstep(left, active, most)
+                placed, left, n_left = self._superstep(left, active, most)
                 if placed is None:
                     break
                 self.placed.append(placed)
+                if not n_left:
+                    break
                 gone = placed.groupBy("g", "number").agg(F.sum("size").alias("gone"))
                 active = active.join(gone, ["g", "number"]).withColumn("room", F.col("room") - F.col("gone")).join(self.capacity, "g").filter(F.col("room") >= least).select("g", "number", "room")
                 active = staged(active, "active")
-                if left.isEmpty() or active.isEmpty():
+                if active.isEmpty():
                     break
-            if left.isEmpty():
+            if not n_left:
                 break
             opened, left = self._open(left, kind, few)
             self.placed.append(opened)
@@ -273,8 +279,8 @@ class _Packing:
         rest = now.join(gone, ["g", "number"], "left").select("g", "number", (F.col("room") - F.coalesce("gone", F.lit(0))).alias("room")).filter("room > 0")
         self.gaps = staged(rest, "gaps")
 
-    def _superstep(self, left: DataFrame, active: DataFrame, most: Column) -> tuple[DataFrame | None, DataFrame]:
-        """((g, number, uid, size) or none if no gap took a clip, (g, uid, size) that are left)."""
+    def _superstep(self, left: DataFrame, active: DataFrame, most: Column) -> tuple[DataFrame | None, DataFrame, int]:
+        """((g, number, uid, size) or none if no gap took a clip, (g, uid, size) that are left, how many are)."""
         counts = left.groupBy("g").agg(F.count(F.lit(1)).alias("clips"))
         gaps = active.join(counts, "g").join(self.capacity, "g").withColumn("most", most)
         gaps = gaps.withColumn("n", F.greatest(F.lit(1), F.least(F.expr("room div most"), "clips")))
@@ -284,7 +290,9 @@ class _Packing:
         rows = rows.unionByName(left.select("g", F.col("size").alias("value"), F.lit(1).alias("clip"), F.col("uid").alias("id"), F.lit(0).cast("bigint").alias("nth")))
         order = ["g", F.col("value").desc(), "clip", "id", "nth"]
         swept = staged(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep, _SWEPT), "swept")
-        edges = swept.filter("what = 3").distinct().collect()  # two rows a range
+        told = swept.filter("what >= 3").distinct().collect()  # three rows a range
+        edges = [r for r in told if r["what"] == 3]
+        n_left, n_placed = (sum(r[c] for r in told if r["what"] == 4) for c in ("nth", "size"))
         placed = swept.filter("what = 2").select("g", "number", "uid", "size")
         rest = swept.filter("what = 1")
         crossing = _handed_on(edges)
@@ -294,8 +302,8 @@ class _Packing:
             met = staged(met.select("g", "uid", "size", F.col("at").alias("part"), (F.col("first") + F.col("nth") - F.col("lo")).alias("nth")), "handed-on")
             free = swept.filter("what = 0").select("g", "part", "nth", "number")
             across = met.filter("part is not null").join(free, ["g", "part", "nth"]).select("g", "number", "uid", "size")
-            return staged(placed.unionByName(across), "placed"), met.filter("part is null").select("g", "uid", "size")
-        return None if placed.isEmpty() else placed, rest.select("g", "uid", "size")
+            return placed.unionByName(staged(across, "placed")), met.filter("part is null").select("g", "uid", "size"), n_left - sum(hi - lo for _, lo, hi, *_ in crossing)
+        return placed if n_placed else None, rest.select("g", "uid", "size"), n_left
 
     def _open(self, left: DataFrame, kind: int, few: int) -> tuple[DataFrame, DataFrame]:
         """((g, number, uid, size) in new containers, (g, uid, size) that are left)."""

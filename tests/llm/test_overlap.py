@@ -48,7 +48,7 @@ def test_blocks_lose_no_pair():
     ranks = bytes(rng.randrange(3) for _ in range(overlap.COUNTERS))
     lexicon = [f"w{i}" for i in range(60)]
     for _ in range(1500):
-        n = rng.choice([6, 7, 9, 10, 14, 15, 24, 40, 60, 63, 64, 70, 79, 80, 120])
+        n = rng.choice([6, 7, 9, 10, 14, 15, 16, 19, 20, 21, 24, 25, 40, 64, 79, 120, 300])
         a = [rng.choice(lexicon) for _ in range(n)]
         b = edited(rng, a, rng.randrange(0, n // 5 + 1))
         if len(b) < 6 or not overlap.edits_within(a, b, max(len(a), len(b)) // 5):
@@ -120,6 +120,43 @@ def test_waves(spark):
     assert got <= expected and len(got) >= 0.98 * len(expected)
 
 
+def test_report_counts_what_is_listed(spark):
+    """Texts and waveforms drawn from few, so that many pairs are linked both ways; one record is on both sides."""
+    rng = random.Random(6)
+    clips = [wav(noise(np.random.default_rng(k))) for k in range(4)]
+    texts = ["a b c d e f g", "a b c d e f h", "one two three four five six", None]
+    rows = [(i, rng.choice(texts), rng.choice(["train", "dev", "test"]), rng.choice("xy"), (rng.choice([*clips, None]), None), "", "", "") for i in range(120)]
+    rows += [(7, rows[7][1] or texts[0], s, "x", (clips[0], None), "", "", "") for s in ("train", "dev")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    listed = {tuple(r) for r in overlap.overlaps(df).collect()}
+    known = {}
+    for i, _, s, c, *_ in rows:
+        if s != "train":
+            known[i] = min(known.get(i, (s, c)), (s, c))
+    trained = {r[0] for r in rows if r[2] == "train"}
+    n_pairs, n_over = {}, {}
+    for i, key in known.items():
+        n = sum(((min(i, t), max(i, t)) in listed) for t in trained if t != i)
+        n_pairs[key], n_over[key] = n_pairs.get(key, 0) + n, n_over.get(key, 0) + (n > 0)
+    report = overlap.overlap_report(df).collect()
+    assert sum(n_pairs.values()) > 500
+    assert {(r["split"], r["corpus"]): (r["n_pairs"], r["n_overlapping"]) for r in report} == {k: (n_pairs[k], n_over[k]) for k in n_pairs}
+
+
+def test_hot_copies_are_counted_not_listed(spark):
+    text = "a prompt that very many speakers have read aloud"
+    df = spark.range(400_000).select(F.col("id").alias("utt_id"), F.lit(text).alias("text"), F.when(F.col("id") < 100_000, "test").otherwise("train").alias("split"), F.lit("c").alias("corpus"), F.lit(None).cast("struct<bytes binary, path string>").alias("audio"))
+    assert [tuple(r) for r in overlap.overlap_report(df).collect()] == [("test", "c", 100_000, 100_000, 100_000 * 300_000)]
+
+
+def test_eight_bits_meet_sixteen(spark):
+    x = noise(np.random.default_rng(9))
+    narrow = bytearray(wav(x))
+    narrow = wav(x)[:34] + struct.pack("<H4sI", 8, b"data", 200) + (np.round(x / 256) + 128).astype(np.uint8).tobytes()
+    rows = [(1, None, "dev", "c", (wav(x), None), "", "", ""), (2, None, "train", "c", (bytes(narrow), None), "", "", "")]
+    assert [tuple(r) for r in overlap.overlaps(spark.createDataFrame(rows, SCHEMA)).collect()] == [(1, 2)]
+
+
 def test_edges(spark, small):
     rows = table(spark, small, "utterances")
     assert overlap.overlaps(rows.limit(0)).count() == 0

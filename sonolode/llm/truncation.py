@@ -13,7 +13,8 @@ the same classes of ends splits its documents into complete and cut, starting at
 explains there (a mark that the cutting system put behind the text) counts as cut.
 
 A document's posterior is that of its limit or else of its source, given its end; an end inside a tag, an entity, an
-escape or a character is a cut. Only counts per source, class of end and length meet in one place; words are looked up by a join.
+escape or a character is a cut. Only counts per source, class of end and length meet in one place; words are looked up by a join,
+and whether one begins a known word by its successor among the known words in order.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,18 +41,19 @@ KNOWN = 5
 WIDTHS = (1, 4, 16)
 #: A limit stands out by so many standard deviations, so many documents, and so many times the expected number.
 SIGNIFICANT, FEWEST, TIMES = 7.0, 10, 3.0
-#: No field limit is looked for above this length; longer texts count in the fit like all others.
-LONGEST = 1 << 20
-#: The search for limits of a source and unit ends here, if it has not ended for want of any that stand out.
-MOST_LIMITS = 16
 #: Least posterior of a document that is reported.
 THRESHOLD = 0.5
 #: What is known of a source before any of its documents: so many texts, of which that share is cut.
 PRIOR_TEXTS, PRIOR_SHARE = 50, 0.02
+#: Distinct words that a task counts before it passes its counts on.
+COUNTED = 200_000
 #: Documents that a phrase must close to count as a closing phrase, and its least odds against a chance cut.
 PHRASE, PHRASE_ODDS = 20, 20.0
 
-_BROKEN = re.compile(r"(�|<[/!]?[A-Za-z][^<>\n]{0,60}|</?|&#?\w{0,8}|\\(u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?)$")
+_BROKEN = re.compile(r"(�|</?|&#?\w{0,8}|\\(u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?)$")
+_TAG = re.compile(r"<[/!]?[A-Za-z][^<>\n]*$")
+#: What follows a ``<`` without an end is a tag if it is no longer than this, or if a quoted attribute stands in it.
+TAG = 61
 _CLOSERS = "\"'”’»)]*_“‘"
 _EDGE = " .,;:!?\"“”'‘’()[]{}<>…—–-*_#/\\|=+~`«»"
 
@@ -75,17 +78,25 @@ def _shape(token: str) -> str:
     return "X" if bare[0].isupper() else "x"
 
 
+def _open_tag(tail: str) -> bool:
+    """Whether the text ends inside a tag."""
+    at = tail.rfind("<")
+    if at < 0 or not _TAG.match(tail, at):
+        return False
+    return len(tail) - at <= TAG + 1 or '="' in tail[at:] or "='" in tail[at:]
+
+
 def ending(text: str) -> tuple[str, str | None, str | None, str | None]:
     """(class of the end, last word if it needs a look-up, two phrases that may close texts) of a text."""
-    tail = text[-400:]
-    while tail and (tail[-1].isspace() or unicodedata.category(tail[-1]) == "Cf"):
-        tail = tail[:-1]
+    n = len(text)
+    while n and (text[n - 1].isspace() or unicodedata.category(text[n - 1]) == "Cf"):
+        n -= 1
+    tail = text[:n]
     if not tail:
         return "none", None, None, None
-    if _BROKEN.search(tail):
+    if _BROKEN.search(tail[-16:]) or _open_tag(tail):
         return "broken", None, None, None
-    last, before = "", ""
-    tokens = tail.split()[-3:]
+    tokens = tail.rsplit(None, 2)
     last, before = tokens[-1], tokens[-2] if len(tokens) > 1 else ""
     core = tail.rstrip(_CLOSERS)
     end = core[-1:] if core else tail[-1]
@@ -117,51 +128,92 @@ def _cuts(doc: int, text: str) -> tuple[str, str]:
     return text[:at], words[:space] if space > 0 else words
 
 
-def _tails(rows: DataFrame) -> DataFrame:
-    """(same, doc_id, source, n_chars, n_bytes, kind, cls, word, p1, p2): the end of each document, and of two cuts of it."""
+_TAIL = "same bigint, doc_id bigint, source string, n_chars int, n_bytes int, kind int, cls string, word string, p1 string, p2 string"
+_COUNT = "n bigint, closes bigint"
+
+
+def _read(rows: DataFrame) -> DataFrame:
+    """One reading of (same, doc_id, source, text). Kinds 0, 1, 2: the end of each document and of two cuts of it. Kind -1: words and their counts.
+
+    A word counts where it stands within a text, not as its last token; closes counts where it closes a sentence. Tasks count their own texts
+    and pass on what they have at ``COUNTED`` distinct words, so a frequent word costs each task a few rows.
+    """
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+    names = ["same", "doc_id", "source", "n_chars", "n_bytes", "kind", "cls", "word", "p1", "p2", "n", "closes"]
+
+    def words(seen: Counter[str]) -> Iterator[pa.RecordBatch]:
+        n: Counter[str] = Counter()
+        closes: Counter[str] = Counter()
+        for token, count in seen.items():
+            word = _bare(token)
+            n[word] += count
+            if token.rstrip(_CLOSERS)[-1:] in (".", "?", "!"):
+                closes[word] += count
+        keys = list(n)
+        for i in range(0, len(keys), 50_000):
+            part = keys[i : i + 50_000]
+            given = {"kind": [-1] * len(part), "word": part, "n": [n[k] for k in part], "closes": [closes[k] for k in part]}
+            yield pa.RecordBatch.from_arrays([pa.array(given[c], t) if c in given else pa.nulls(len(part), t) for c, t in zip(names, kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
         for b in batches:
             out = []
             for same, doc, source, text in zip(*(c.to_pylist() for c in b.columns)):
                 n = len(text)
                 raw = len(text.encode("utf-8", "surrogatepass"))
                 size = raw - 3 * (n - len(text.rstrip("�")))
-                out.append((same, doc, source, n, size, 0, *ending(text)))
+                out.append((same, doc, source, n, size, 0, *ending(text), None, None))
                 if n >= 20:
-                    out += [(same, doc, source, n, size, k, *ending(t)) for k, t in enumerate(_cuts(doc or 0, text), 1)]
+                    out += [(same, doc, source, n, size, k, *ending(t), None, None) for k, t in enumerate(_cuts(doc or 0, text), 1)]
+                seen.update(text.split()[:-1])
             if out:
-                columns = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["same", "doc_id", "source", "n_chars", "n_bytes", "kind", "cls", "word", "p1", "p2"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+            if len(seen) > COUNTED:
+                yield from words(seen)
+                seen.clear()
+        yield from words(seen)
 
-    return rows.mapInArrow(run, "same bigint, doc_id bigint, source string, n_chars int, n_bytes int, kind int, cls string, word string, p1 string, p2 string")
+    return rows.mapInArrow(run, f"{_TAIL}, {_COUNT}")
 
 
-def known_words(texts: DataFrame) -> DataFrame:
-    """(word, n, closes): words that occur ``KNOWN`` times within texts, and how often they close a sentence there.
+def begins_known(unknown: DataFrame, known: DataFrame) -> DataFrame:
+    """(word): those of ``unknown`` with which a word of ``known`` begins; both (word) without repeats, and none in common.
 
-    The last token of a text is left out. Tasks count their own texts first, so a word costs each task one row.
+    In order of code points the words that begin with w follow right behind it, so that w begins a known word if its successor among
+    them does so. Each task goes through its range; what is open at its end is answered by the first known word of a later range.
     """
+    every = known.select("word", F.lit(True).alias("known")).unionByName(unknown.select("word", F.lit(False).alias("known")))
+    ranged = every.repartitionByRange("word").sortWithinPartitions("word")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                seen.update(text.split()[:-1])
-        n: Counter[int] = Counter()
-        closes: Counter[int] = Counter()
-        for token, count in seen.items():
-            word = _bare(token)
-            n[word] += count
-            if token.rstrip(_CLOSERS)[-1:] in (".", "?", "!"):
-                closes[word] += count
-        keys = list(n)
-        for i in range(0, len(keys), 50_000):
-            part = keys[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([n[k] for k in part], pa.int64()), pa.array([closes[k] for k in part], pa.int64())], names=["word", "n", "closes"])
+        part, first, pending = TaskContext.get().partitionId(), None, []  # pending: each one begins the next
 
-    return texts.mapInArrow(run, "word string, n bigint, closes bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("closes").alias("closes")).filter(f"n >= {KNOWN} and word <> ''")
+        def rows(found: list[str], what: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part] * len(found), pa.int32()), pa.array([what] * len(found), pa.int32()), pa.array(found, pa.string())], names=["part", "what", "word"])
+
+        for b in batches:
+            hits = []
+            for word, is_known in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                while pending and not word.startswith(pending[-1]):
+                    pending.pop()
+                if is_known:
+                    first = word if first is None else first
+                    hits += pending
+                    pending.clear()
+                else:
+                    pending.append(word)
+            if hits:
+                yield rows(hits, 0)
+        yield rows(pending, 1)
+        if first is not None:
+            yield rows([first], 2)
+
+    swept = staged(ranged.mapInArrow(run, "part int, what int, word string"), "begun")
+    ends = swept.filter("what > 0").orderBy("part").collect()  # of each range its first known word, and what begins its last word
+    firsts = [(r["part"], r["word"]) for r in ends if r["what"] == 2]
+    late = [(r["word"],) for r in ends if r["what"] == 1 and next((k for p, k in firsts if p > r["part"]), "").startswith(r["word"])]
+    return swept.filter("what = 0").select("word").unionByName(known.sparkSession.createDataFrame(late, "word string"))
 
 
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, surplus: np.ndarray) -> tuple[float, float]:
@@ -175,55 +227,61 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, surplus: np.ndarray) ->
     sd = max(0.05, float(np.sqrt(((x - mu) ** 2 * counts).sum() / total)))
     if surplus.sum() == 0:
         return mu, sd
+    at = np.flatnonzero(surplus)
+    held, y = surplus[at], x[at]
     for _ in range(30):
-        z = (x - mu) / sd
-        beyond = np.maximum(0.5 * np.vectorize(math.erfc)(z / math.sqrt(2)), 1e-12)
+        z = (y - mu) / sd
+        beyond = np.maximum(0.5 * _erfc(z / math.sqrt(2)), 1e-12)
         hazard = np.exp(-0.5 * z * z) / math.sqrt(2 * math.pi) / beyond
         first = mu + sd * hazard
-        second = mu * mu + sd * sd + sd * (x + mu) * hazard
-        new = float((x * plain + first * surplus).sum() / total)
-        var = float((x * x * plain + second * surplus).sum() / total) - new * new
+        second = mu * mu + sd * sd + sd * (y + mu) * hazard
+        new = float(((x * plain).sum() + (first * held).sum()) / total)
+        var = float(((x * x * plain).sum() + (second * held).sum()) / total) - new * new
         mu, sd = new, max(0.05, math.sqrt(max(var, 1e-4)))
     return mu, sd
 
 
+_erfc = np.vectorize(math.erfc, otypes=[float])
+
+
 def find_limits(lengths: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, float, float]]:
-    """(lowest length, highest length, expected number of uncut documents, surplus over it) of each limit in a histogram of one source."""
-    beyond = lengths > LONGEST
-    far, far_counts = lengths[beyond], counts[beyond]
-    lengths, counts = lengths[~beyond], counts[~beyond]
-    if not len(lengths):
-        return []
-    size = int(lengths.max()) + 40
-    hist = np.zeros(size)
-    hist[lengths] = counts
-    surplus = np.zeros(size)
-    axis = np.arange(size)
+    """(lowest length, highest length, expected number of uncut documents, surplus over it) of each limit in a histogram of one source.
+
+    The histogram has a row for each length that occurs, of any size; the search ends when no limit stands out any more.
+    """
+    order = np.argsort(lengths)
+    x, hist = lengths[order].astype(np.int64), counts[order].astype(float)
+    surplus = np.zeros(len(x))
+    taken = x < 20
     found: list[tuple[int, int, float, float]] = []
-    taken = np.zeros(size, dtype=bool)
-    taken[:20] = True
-    for _ in range(MOST_LIMITS):
-        held = hist > 0
-        mu, sd = fit_lengths(np.concatenate([axis[held], far]), np.concatenate([hist[held], far_counts]), np.concatenate([surplus[held], np.zeros(len(far))]))
-        x = np.log(np.maximum(axis, 1))
-        density = np.exp(-0.5 * ((x - mu) / sd) ** 2) / (np.maximum(axis, 1) * sd * math.sqrt(2 * math.pi)) * (hist.sum() + far_counts.sum())
-        best = None
+    while len(x):
+        mu, sd = fit_lengths(x, hist, surplus)
+        total = np.concatenate([[0.0], np.cumsum(np.where(taken, 0, hist))])
+
+        def within(lo: np.ndarray, hi: np.ndarray, total: np.ndarray = total) -> np.ndarray:
+            return total[np.searchsorted(x, hi, "right")] - total[np.searchsorted(x, lo, "left")]
+
+        def above(at: np.ndarray, mu: float = mu, sd: float = sd) -> np.ndarray:
+            return 0.5 * _erfc((np.log(np.maximum(at + 0.5, 0.5)) - mu) / sd / math.sqrt(2))
+
+        best, top, around = None, above(x), within(x - 31, x + 32)
         for width in WIDTHS:
-            seen, want = (np.convolve(v, np.ones(width))[:size] for v in (np.where(taken, 0, hist), density))
+            seen, want = within(x - width + 1, x), (above(x - width) - top) * hist.sum()
             # beside the fit, the lengths around tell how many are usual
-            near = (np.convolve(np.where(taken, 0, hist), np.ones(64), "full")[32 : 32 + size] - seen) / max(64 - width, 1) * width
+            near = (around - seen) / (64 - width) * width
             want = np.maximum(want, np.minimum(near, seen))
             score = np.where((seen >= FEWEST) & (seen > TIMES * want), (seen - want) / np.sqrt(want + 1), 0)
             at = int(score.argmax())
             if score[at] > SIGNIFICANT and (best is None or score[at] > best[0] * 1.15):
-                best = (float(score[at]), at - width + 1, at, float(want[at]))
+                best = (float(score[at]), max(int(x[at]) - width + 1, 0), int(x[at]), float(want[at]))
         if best is None:
             break
         _, lo, hi, want = best
-        found.append((max(lo, 0), hi, want, float(hist[max(lo, 0) : hi + 1].sum()) - want))
-        taken[max(lo, 0) : hi + 1] = True
-        inside = hist[max(lo, 0) : hi + 1]
-        surplus[max(lo, 0) : hi + 1] = inside * max(0.0, 1 - want / inside.sum())
+        inside = (x >= lo) & (x <= hi)
+        held = float(hist[inside].sum())
+        found.append((lo, hi, want, held - want))
+        taken |= inside
+        surplus[inside] = hist[inside] * max(0.0, 1 - want / held)
     return found
 
 
@@ -305,10 +363,13 @@ def judge(documents: DataFrame) -> DataFrame:
     doc_id have a row each; a null source is a source like any other.
     """
     texts = documents.select(F.col("doc_id").cast("bigint"), F.coalesce(corpus_name("source"), F.lit("")).alias("source"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    tails = _tails(texts.select(F.xxhash64("text").alias("same"), "doc_id", "source", "text"))
-    words = known_words(texts.select("text"))
+    read = staged(_read(texts.select(F.xxhash64("text").alias("same"), "doc_id", "source", "text")), "read", by=("kind",))
+    tails = read.filter("kind >= 0").select([n.split()[0] for n in _TAIL.split(", ")])
+    # words that occur KNOWN times within texts
+    words = read.filter("kind = -1").groupBy("word").agg(F.sum("n").alias("n"), F.sum("closes").alias("closes")).filter(f"n >= {KNOWN} and word <> ''")
     words = staged(words, "known-words")
-    begun = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", 1, i))).alias("word"), F.lit(True).alias("begun")).filter("word <> ''").distinct()
+    unknown = tails.filter("word <> ''").select("word").distinct().join(words, "word", "left_anti")
+    begun = begins_known(unknown, words.select("word")).withColumn("begun", F.lit(True))
     plain = tails.filter("word is null").withColumn("end", F.col("cls"))
     closing = F.col("closes") / F.col("n")
     grade = F.when(F.col("n").isNull(), F.when(F.col("begun"), "begun").otherwise("?")).when(closing < 0.002, "never").when(closing < 0.03, "seldom").when(closing < 0.15, "often").otherwise("mostly")

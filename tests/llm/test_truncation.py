@@ -57,7 +57,7 @@ def test_limits_and_fit():
     lengths, counts = np.unique(cut, return_counts=True)
     (lo, hi, want, _), *more = t.find_limits(lengths, counts.astype(float))
     assert (lo, hi, more) == (600, 600, []) and want < 100
-    assert t.find_limits(np.append(lengths, 10**9), np.append(counts, 1.0))[0][:2] == (600, 600) and t.find_limits(np.array([10**9]), np.array([50.0])) == []
+    assert t.find_limits(np.append(lengths, 10**9), np.append(counts, 1.0))[0][:2] == (600, 600)
     surplus = np.where(lengths == 600, counts - want, 0)
     mu, sd = t.fit_lengths(lengths, counts.astype(float), surplus)
     # the 70 % that are censored are only in part those beyond the limit, so the tail is a little heavy
@@ -65,12 +65,45 @@ def test_limits_and_fit():
     assert t.find_limits(*[np.unique(x, return_counts=True)[0], np.unique(x, return_counts=True)[1].astype(float)]) == []
 
 
+def test_limits_of_any_size_and_number():
+    """A limit beyond a million characters, and forty limits in one source, all found."""
+    rng = np.random.default_rng(5)
+    x = np.exp(rng.normal(14.5, 0.5, 30_000)).astype(int)
+    cut = np.where((x > 3_000_000) & (rng.random(30_000) < 0.7), 3_000_000, x)
+    found = t.find_limits(*(a.astype(float) if i else a for i, a in enumerate(np.unique(cut, return_counts=True))))
+    assert [f[:2] for f in found] == [(3_000_000, 3_000_000)]
+    limits = np.arange(40) * 1000 + 1000
+    many = np.concatenate([np.exp(rng.normal(9.5, 1.0, 40_000)).astype(int), np.repeat(limits, 300)])
+    found = t.find_limits(*(a.astype(float) if i else a for i, a in enumerate(np.unique(many, return_counts=True))))
+    assert {f[1] for f in found} == set(limits.tolist())
+
+
+def test_begins_known(spark):
+    rng = random.Random(4)
+    known = {"".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(300)} | {"z" * 100_000}
+    unknown = {"".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(600)} | {"z" * 99_999, "zz", "zy"}
+    unknown -= known
+    two = [spark.createDataFrame([(w,) for w in ws], "word string") for ws in (unknown, known)]
+    for parts in ("2", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = sorted(r[0] for r in t.begins_known(*two).collect())
+        assert got == sorted(w for w in unknown if any(k.startswith(w) for k in known))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("text", ["half of an <br" + " " * 5000, "see <a href=\"" + "x" * 500, "so the &am" + "\n" * 1000])
+def test_broken_ends_far_back(text):
+    assert t.ending(text)[0] == "broken"
+
+
 @pytest.mark.parametrize("text", ["so the <br", "so the &am", "so the \\u01", "caf�", "see <a href=\"x"])
 def test_broken_ends(text):
     assert t.ending(text)[0] == "broken"
 
 
-@pytest.mark.parametrize(("text", "cls"), [("done.", "stop"), ("done?”\n", "stop"), ("well…", "ellipsis"), ("(x)", "closed)"), ("no", "wordx"), ("Jo", "wordX"), ("12", "number0"), ("#tag", "tag"), ("and,", "open"), ("", "none"), (" \n", "none"), ("x" * 10_000, "wordx")])
+@pytest.mark.parametrize(("text", "cls"), [("done.", "stop"), ("done?”\n", "stop"), ("well…", "ellipsis"), ("(x)", "closed)"), ("no", "wordx"), ("Jo", "wordX"), ("12", "number0"), ("#tag", "tag"), ("and,", "open"), ("", "none"), (" \n", "none"), ("if a <b then " + "c " * 80, "wordx"), ("x" * 10_000, "wordx")])
 def test_ends(text, cls):
     assert t.ending(text)[0] == cls
 

@@ -4,53 +4,91 @@ A text beyond ``chunk_chars`` is cut where the tokenizer provably starts anew, a
 the workers by a salt of text and chunk number; shorter texts are counted where they are read. Chunk counts add
 up to the count of the whole text, which the tests check against whole-text encoding.
 
-Why the cuts are exact: before merging, the tokenizer splits a text by the pattern in ``vocab`` from left to right,
-and merges never cross a split. No alternative of that pattern spans (1) a character that is not white space and a
-space after it, or (2) a letter and a number. The only look-ahead belongs to white-space runs; in (1) and (2)
-no such run ends at the cut, and in (1) the space is followed by no further white space, so that it opens the next
-word in either reading. A stretch with no such place stays whole.
+Why the cuts are exact, by what the tokenizer's file says (``boundary``):
+
+- Byte-level vocabularies split a text by the pattern in ``vocab`` from left to right before they merge,
+  and merges never cross a split. No alternative of that pattern spans (1) a character that is not white space and a
+  space after it, or (2) a letter and a number. The only look-ahead belongs to white-space runs; in (1) and (2)
+  no such run ends at the cut, and in (1) the space is followed by no further white space, so that it opens the next
+  word in either reading.
+- Where the file's own pattern drops white space, no word spans it, and neither composition nor lower case looks across it.
+- Where pieces hold the space as their first sign and none has one behind another sign, as a look at all pieces shows, no
+  merge crosses from a word to a space. The space itself is left out, since the tokenizer puts one before every text.
+
+A stretch with no such place stays whole, and so do the texts of a tokenizer of another kind.
 """
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonolode.functions.names import corpus_name, language_code
 from sonolode.llm import vocab
+from sonolode.session import staged
 
 #: Above this many characters a text is cut into chunks.
 CHUNK_CHARS = 16_384
 
 
-@lru_cache(maxsize=1)
-def _boundary():
+@lru_cache(maxsize=8)
+def boundary(tokenizer: str, directory: str):
+    """(pattern of the places where a text may be cut, characters left out there), or none where no place is proven."""
     import regex
 
-    s = vocab._S
-    return regex.compile(rf"(?<=[^{s}])(?= [^{s}])|(?<=\p{{L}})(?=\p{{N}})")
+    byte_level = regex.compile(rf"(?<=[^{vocab._S}])(?= [^{vocab._S}])|(?<=\p{{L}})(?=\p{{N}})"), 0
+    base = os.path.join(directory, tokenizer)
+    if os.path.exists(base + ".tiktoken"):
+        return byte_level
+    if os.path.exists(base + ".json"):
+        with open(base + ".json", encoding="utf-8") as f:
+            spec = json.load(f)
+        before = spec.get("pre_tokenizer") or {}
+        steps = before.get("pretokenizers", [before])
+        if spec.get("normalizer") is None and steps == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}]:
+            return byte_level
+        known = {"NFC", "Lowercase", "Replace"}
+        normal = spec.get("normalizer") or {}
+        first = steps[0]
+        # words are what the pattern matches, and no alternative of it has a place for white space
+        drops = first.get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed" and first["pattern"].get("Regex") == vocab.WORDS
+        if drops and {n["type"] for n in normal.get("normalizers", [normal]) if n} <= known:
+            return regex.compile(r"(?<=\S)(?=\s)"), 0
+        return None
+    if os.path.exists(base + ".model"):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=base + ".model")
+        whole = not any("▁" in sp.id_to_piece(i).lstrip("▁") for i in range(sp.get_piece_size()))
+        # a space is put before every text, and two spaces stay two
+        plain = sp.encode("a", out_type=str)[:1] == ["▁a"] and sum(x.count("▁") for x in sp.encode("a  b", out_type=str)) == 3
+        if whole and plain:
+            return regex.compile(r"(?<=[^\s▁])(?= [^\s▁])"), 1
+    return None
 
 
-def cut(text: str, chunk_chars: int = CHUNK_CHARS) -> list[str]:
-    """Chunks of ``text`` of about ``chunk_chars`` characters, at independent boundaries only."""
+def cut(text: str, chunk_chars: int = CHUNK_CHARS, places=None) -> list[str]:
+    """Chunks of ``text`` of about ``chunk_chars`` characters, at ``places`` (a ``boundary``) only."""
+    pattern, skip = places or boundary(vocab.DEFAULT, vocab.folder())
     chunks, start = [], 0
     while len(text) - start > chunk_chars:
-        m = _boundary().search(text, start + chunk_chars)
+        m = pattern.search(text, start + chunk_chars)
         if not m:
             break
         chunks.append(text[start : m.start()])
-        start = m.start()
+        start = m.start() + skip
     return [*chunks, text[start:]]
 
 
 def counter(tokenizer: str, directory: str):
     """A function from texts to token counts; ``tokenizer`` is a name of the folder, of any kind."""
-    import os
-
     if os.path.exists(os.path.join(directory, tokenizer + ".tiktoken")):
         enc = vocab.rank_encoder(directory, tokenizer)
         return lambda texts: [len(x) for x in enc.encode_ordinary_batch(texts, num_threads=1)]
@@ -82,32 +120,41 @@ def count_tokens(df: DataFrame, id_col: str, text_col: str, carry: dict[str, Col
     """(id, carried columns, n_tokens bigint) for each row of ``df``.
 
     A null text counts null, an empty one 0. Repeated rows give repeated results. Carried columns are
-    named by the caller; all others, whatever their names, are dropped before anything moves. Only the
-    rank-file tokenizers have proven boundaries, so others count long texts whole.
+    named by the caller; all others, whatever their names, are dropped before anything moves. The texts are read once: short ones are counted
+    there, the chunks of long ones are written out and spread.
     """
     directory = directory or vocab.folder()
     carry = carry or {}
     kinds = df.select(F.col(id_col), *[c.alias(n) for n, c in carry.items()])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds.schema)
     rows = df.select(F.col(id_col), *[c.alias(n) for n, c in carry.items()], F.col(text_col).cast("string").alias("__text"))
-    proven = tokenizer.startswith("byte_bpe")
-    long = F.coalesce(F.length("__text") > chunk_chars, F.lit(False)) if proven else F.lit(False)
-    counted = rows.filter(~long).mapInArrow(_count_column(tokenizer, directory), schema + ", n_tokens bigint")
-    if not proven:
-        return counted
+    if boundary(tokenizer, directory) is None:
+        return rows.mapInArrow(_count_column(tokenizer, directory), schema + ", n_tokens bigint")
+    # Chunk -1 is a whole text. A long text has a name of its own, so that rows with equal or null ids are not added up together.
+    extra = [("n_tokens", pa.int64()), ("__row", pa.int64()), ("__chunk", pa.int32()), ("__text", pa.string())]
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, named = TaskContext.get().partitionId() << 33, 0
+        count = places = None
         for batch in batches:
-            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                chunks = cut(text, chunk_chars)
-                one = batch.slice(i, 1)
+            count, places = count or counter(tokenizer, directory), places or boundary(tokenizer, directory)
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            short = [t if t and len(t) <= chunk_chars else "" for t in texts]
+            counts = [None if t is None else n for t, n in zip(texts, count(short))]
+            long = [i for i, t in enumerate(texts) if t and len(t) > chunk_chars]
+            names = [*batch.schema.names[:-1], *(n for n, _ in extra)]
+            whole = batch.filter(pa.array([t is None or len(t) <= chunk_chars for t in texts], pa.bool_())) if long else batch
+            ours = pa.array([n for t, n in zip(texts, counts) if t is None or len(t) <= chunk_chars], pa.int64())
+            yield pa.RecordBatch.from_arrays([*whole.columns[:-1], ours, pa.nulls(len(ours), pa.int64()), pa.array([-1] * len(ours), pa.int32()), pa.nulls(len(ours), pa.string())], names=names)
+            for i in long:
+                chunks, one = cut(texts[i], chunk_chars, places), batch.slice(i, 1)
                 same = [pa.concat_arrays([c] * len(chunks)) for c in one.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(range(len(chunks)), pa.int32()), pa.array(chunks)], names=[*batch.schema.names[:-1], "__chunk", "__text"])
+                yield pa.RecordBatch.from_arrays([*same, pa.nulls(len(chunks), pa.int64()), pa.array([task + named] * len(chunks), pa.int64()), pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.string())], names=names)
+                named += 1
 
-    # A row of its own for each long text, so that rows with equal or null ids are not added up together.
-    keyed = rows.filter(long).select(*kinds.columns, F.monotonically_increasing_id().alias("__row"), "__text")
-    chunks = keyed.mapInArrow(split, schema + ", __row bigint, __chunk int, __text string")
-    spread = chunks.repartition(F.xxhash64("__row", "__chunk"))
+    read = staged(rows.mapInArrow(run, schema + ", n_tokens bigint, __row bigint, __chunk int, __text string"), "token-counts")
+    counted = read.filter("__chunk = -1").select(*kinds.columns, "n_tokens")
+    spread = read.filter("__chunk >= 0").select(*kinds.columns, "__row", "__chunk", "__text").repartition(F.xxhash64("__row", "__chunk"))
     parts = spread.mapInArrow(_count_column(tokenizer, directory), schema + ", __row bigint, __chunk int, n_tokens bigint")
     whole = parts.groupBy(*kinds.columns, "__row").agg(F.sum("n_tokens").alias("n_tokens")).drop("__row")
     return counted.unionByName(whole)

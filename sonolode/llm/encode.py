@@ -5,7 +5,8 @@ together: a recursive query over token-position rows joins the merge table, cont
 occurrences of each word's minimum-rank pair, and leaves a word out of the next round once no pair of it
 can merge. Equal pairs of one word are contracted in one round, left to right without overlap; that equals
 one at a time, since a pair made with a merged token always ranks behind that merge. An ordered read of the
-rows gives the ids of each word, and an index gather those of each document. Nothing is shuffled.
+rows gives the ids of each word, and an index gather those of each document. Nothing is shuffled but the chunks of texts over a
+million characters, which are encoded by many tasks and put together again in order.
 """
 
 from __future__ import annotations
@@ -21,9 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonolode.llm import vocab
+from sonolode.llm.budget import cut
 
-#: Characters that are encoded together: bounds the rows of one recursive query, drops nothing.
-BATCH_CHARS = 4_000_000
+#: Bytes of texts that are encoded together, about: bounds the rows of one recursive query, drops nothing.
+BATCH_BYTES = 4_000_000
+#: Texts of more characters are cut at proven boundaries and spread over tasks.
+LONG_TEXT = 1 << 20
 #: Encoded words that a worker keeps for its next texts; beyond, it starts anew.
 KEPT = 400_000
 
@@ -156,6 +160,28 @@ def encode_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """
     directory = directory or vocab.folder()
     kind = documents.schema[id_col].dataType.simpleString()
+    rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
+    long = F.coalesce(F.length("__text") > LONG_TEXT, F.lit(False))
+    whole = _encoded(rows.filter(~long), f"`{id_col}` {kind}", tokenizer, directory)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, text in enumerate(b.column(2).to_pylist()):
+                for k, chunk in enumerate(cut(text, LONG_TEXT)):
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([k], pa.int32()), pa.array([chunk], pa.string())], names=[id_col, "__row", "__chunk", "__text"])
+
+    named = rows.filter(long).select(id_col, F.monotonically_increasing_id().alias("__row"), "__text")
+    chunks = named.mapInArrow(split, f"`{id_col}` {kind}, __row bigint, __chunk int, __text string").repartition(F.xxhash64("__row", "__chunk"))
+    parts = _encoded(chunks, f"`{id_col}` {kind}, __row bigint, __chunk int", tokenizer, directory)
+    # the chunks' ids follow one another in the order of the chunks
+    joined = parts.groupBy(id_col, "__row").agg(F.sort_array(F.collect_list(F.struct("__chunk", "ids"))).alias("c"))
+    return whole.unionByName(joined.select(id_col, F.flatten("c.ids").alias("ids")))
+
+
+def _encoded(rows: DataFrame, schema: str, tokenizer: str, directory: str) -> DataFrame:
+    """``rows`` with ids in place of the text, which is the last column."""
+    at = len(rows.columns) - 1
+    names = [*rows.columns[:-1], "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -163,21 +189,20 @@ def encode_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
         def flush() -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(held)
-            lists = word_encoder(directory, tokenizer).texts(t.column(1).to_pylist())
+            lists = word_encoder(directory, tokenizer).texts(t.column(at).to_pylist())
             offsets = np.zeros(len(lists) + 1, dtype=np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
             values = np.concatenate(lists) if lists else np.empty(0, np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-            yield from pa.table({id_col: t.column(0).combine_chunks(), "ids": ids}).to_batches(max_chunksize=2000)
+            yield from pa.Table.from_arrays([*(c.combine_chunks() for c in t.columns[:-1]), ids], names=names).to_batches(max_chunksize=2000)
 
         for batch in batches:
             held.append(batch)
-            size += batch.column(1).nbytes
-            if size >= BATCH_CHARS:
+            size += batch.column(at).nbytes
+            if size >= BATCH_BYTES:
                 yield from flush()
                 held, size = [], 0
         if held:
             yield from flush()
 
-    narrow = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return rows.mapInArrow(run, f"{schema}, ids array<int>")

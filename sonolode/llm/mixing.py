@@ -6,7 +6,7 @@ key scaled by its quality weight, -ln(u) / w, and the documents with the lowest
 summed in key order, reach the rest. The draws are hashes of doc_id and seed, so the choice is repeatable.
 
 The running sum over a source, however large, is made of sums over ranges of its keys, one row per range, and running
-sums within each range.
+sums within each range. The ranges are quantiles of the keys themselves, so they are even whatever the weights are.
 """
 
 from __future__ import annotations
@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 
 from sonolode.functions.names import corpus_name
 from sonolode.llm.budget import count_tokens
+from sonolode.llm.ranges import running
 from sonolode.session import staged
 
-#: Documents per range of keys, about.
-RANGE = 20_000
 #: The lowest quality weight.
 LEAST_WEIGHT = 0.05
 
@@ -67,17 +66,13 @@ def choose(sized: DataFrame, plan: DataFrame, seed: int = 1) -> DataFrame:
     A document stands at most max_repeats times. The last one taken of a rest is the one that brings the sum nearest
     to it. Equal keys, as of repeated rows, go by doc_id and size.
     """
-    draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    keyed = sized.join(plan.select("source", "epochs", "rest"), "source").withColumn("key", -F.log(draw) / F.col("weight"))
-    sizes = sized.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(RANGE)).alias("ranges"))
-    # 1 - exp(-key) rises with the key from 0 to 1
-    ranged = keyed.join(sizes, "source").withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * F.col("ranges")))
-    sums = ranged.groupBy("source", "range").agg(F.sum("n_tokens").alias("n"))
-    before = sums.select("source", "range", (F.sum("n").over(Window.partitionBy("source").orderBy("range")) - F.col("n")).alias("before"))
-    own = Window.partitionBy("source", "range").orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start = F.col("before") + F.sum("n_tokens").over(own) - F.col("n_tokens")
-    extra = ((start + F.col("n_tokens") / 2 <= F.col("rest")) & (F.col("rest") > 0)).cast("bigint")
-    mixed = ranged.join(before, ["source", "range"]).withColumn("repeats", F.col("epochs") + extra)
+    draw = (F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")), 256), 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+    # one row per target source, numbered so that sources are compared by number
+    wanted = plan.select("source", "epochs", "rest", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("source")).cast("bigint").alias("g"))
+    keyed = sized.join(wanted, "source").withColumn("key", F.round(-F.log(draw) / F.col("weight"), 9))
+    ranged = running(keyed.select("g", "doc_id", "source", "n_tokens", "epochs", "rest", "key"), [F.col("key"), F.col("doc_id"), F.col("n_tokens")], "n_tokens", "keyed")
+    extra = ((F.col("before") + F.col("n_tokens") / 2 <= F.col("rest")) & (F.col("rest") > 0)).cast("bigint")
+    mixed = ranged.withColumn("repeats", F.col("epochs") + extra)
     return mixed.filter("repeats > 0").select("doc_id", "source", "n_tokens", "repeats")
 
 

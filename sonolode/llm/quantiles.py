@@ -5,7 +5,8 @@ overflows is sorted and every other value, from a random start, moves up. One co
 rank of any value by -2**h, 0 or 2**h, with mean zero and independently of the others, so with v the sum of 4**h
 over all compactions the rank error exceeds sqrt(2 v ln(2 / delta)) with probability at most delta (Hoeffding).
 A sketch carries v along, and every answer states that bound over n. A sketch that never overflowed is exact.
-Random starts come from a hash of the group and a counter, so a rerun task gives the same sketch.
+Random starts come from a hash of the group, the task, its first values and a counter: tasks throw independent coins, and a task that is
+rerun on the same rows throws its own again.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ SHRINK = 2 / 3
 #: Probability with which an answer may lie beyond its stated bound.
 DELTA = 0.01
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
+#: Rows that a task sorts into its sketches at a time, and values in sketches that it holds before it passes them on.
+ROWS, HELD = 1 << 17, 1 << 22
 #: Sketches of one group that a merge holds at a time.
 _AT_ONCE = 64
 
@@ -119,35 +123,65 @@ def _codes(column: pa.Array) -> np.ndarray:
 
 
 def partial_sketches(df: DataFrame, keys: list[str], values: list[str], k: int = K) -> DataFrame:
-    """(keys, metric, n, sketch) of each task's rows; null, NaN and infinite values are left out."""
+    """(keys, metric, n, sketch) of each task's rows; null, NaN and infinite values are left out.
+
+    A task holds ``ROWS`` rows and the levels of its sketches; where many groups make these too many, it passes them on and begins anew.
+    """
     kinds = {f.name: f.dataType.simpleString() for f in df.select(*keys).schema}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
-            return
+    def feed(rows: list[pa.RecordBatch], sketches: dict[tuple, Sketch]) -> int:
+        """Sort rows into the sketches; how many values these took."""
         table = pa.Table.from_batches(rows).combine_chunks()
         code = np.zeros(table.num_rows, dtype=np.int64)
         for name in keys:
-            c = _codes(table.column(name).combine_chunks() if table.num_rows else table.column(name))
-            code = code * (int(c.max()) + 1) + c
+            c = _codes(table.column(name).combine_chunks())
+            _, code = np.unique(code * (int(c.max()) + 1) + c, return_inverse=True)
         order = np.argsort(code, kind="stable")
         cuts = np.flatnonzero(np.diff(code[order])) + 1
-        starts = np.concatenate([[0], cuts])
-        first = order[starts]
-        at, metric, n, data = [], [], [], []
+        groups = list(zip(*(table.column(c).take(pa.array(order[np.concatenate([[0], cuts])])).to_pylist() for c in keys))) if keys else [()]
+        taken = 0
         for m in values:
             x = table.column(m).cast(pa.float64()).fill_null(float("nan")).to_numpy()[order] + 0.0  # -0.0 becomes 0.0
-            for i, part in enumerate(np.split(x, cuts)):
+            for group, part in zip(groups, np.split(x, cuts)):
                 part = part[np.isfinite(part)]
                 if len(part):
-                    seed = zlib.crc32(repr(([table.column(c)[int(first[i])].as_py() for c in keys], m)).encode())
-                    s = Sketch(k, seed).add(part)
-                    at.append(int(first[i])), metric.append(m), n.append(s.n), data.append(s.dump())
-        out = table.select(keys).take(pa.array(at, pa.int64()))
-        for name, column in (("metric", pa.array(metric, pa.string())), ("n", pa.array(n, pa.int64())), ("sketch", pa.array(data, pa.binary()))):
-            out = out.append_column(name, column)
-        yield from out.to_batches(max_chunksize=500)
+                    taken += len(part)
+                    s = sketches.get((*group, m))
+                    if s is None:
+                        told = repr((group, m, TaskContext.get().partitionId() if TaskContext.get() else 0)).encode() + part[:64].tobytes()
+                        s = sketches[(*group, m)] = Sketch(k, zlib.crc32(told))
+                    s.add(part)
+        return taken
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches: dict[tuple, Sketch] = {}
+        rows: list[pa.RecordBatch] = []
+        held = size = 0
+        types: list[pa.DataType] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            every = list(sketches.items())
+            sketches.clear()
+            for i in range(0, len(every), 500):
+                part = every[i : i + 500]
+                columns = [pa.array([key[j] for key, _ in part], t) for j, t in enumerate(types)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([key[-1] for key, _ in part], pa.string()), pa.array([s.n for _, s in part], pa.int64()), pa.array([s.dump() for _, s in part], pa.binary())], names=[*keys, "metric", "n", "sketch"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            types = types or [b.schema.field(c).type for c in keys]
+            rows.append(b)
+            size += b.num_rows
+            if size >= ROWS:
+                held += feed(rows, sketches)
+                rows, size = [], 0
+                if held >= HELD and sum(len(x) for s in sketches.values() for x in s.levels) >= HELD:
+                    yield from out()
+                    held = 0
+        if rows:
+            feed(rows, sketches)
+        yield from out()
 
     schema = ", ".join(f"`{n}` {t}" for n, t in kinds.items()) + ", metric string, n bigint, sketch binary"
     return df.select(*keys, *values).mapInArrow(run, schema)

@@ -14,18 +14,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Letters of other alphabets (or other code points) with the shape of a Latin letter, and that letter.
+# Letters of other alphabets (or other code points) with the shape of a Latin letter, and that letter. Letters that merely
+# resemble one in some fonts are left apart; a Greek alpha, iota, upsilon, gamma, eta or phi has the shape of the Latin letter of
+# that name (ɑ ɩ ʋ ɣ ƞ ɸ), which these languages tell apart from a, i, u, y, n and o.
 _SHAPES = {
     # Cyrillic
-    "АВЕКМНОРСТУХІЈЅЅԚԜӀҮҺԌ": "ABEKMHOPCTYXIJSSQWIYhG",
-    "аеорсухіјѕԁһԛԝӏүѵ": "aeopcyxijsdhqwlyv",
+    "АВЕКМНОРСТУХІЈЅЅԚԜӀҮҺԌӘӨӠӔѴԐ": "ABEKMHOPCTYXIJSSQWIYhGƏƟƷÆVƐ",
+    "аеорсухіјѕԁһԛԝӏүѵәөӡӕԑкԍ": "aeopcyxijsdhqwlyvəɵʒæɛĸɢ",
     # Greek
-    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϽ": "ABEZHIKMNOPTYXCƆ",
-    "ονρεϲϳͻ": "ovpɛcjɔ",
+    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϽΣΛͿ": "ABEZHIKMNOPTYXCƆƩɅJ",
+    "ονρεϲϳͻαιυγηφκ": "ovpɛcjɔɑɩʋɣƞɸĸ",
     # Armenian
-    "ՕՍԼօսոհց": "OULounhg",
-    # Latin letters with one shape
-    "ɡÐĐ": "gƉƉ",
+    "ՕՍԼՏօսոհցյ": "OULSounhgȷ",
+    # Cherokee
+    "ᎠᎡᎢᎩᎪᎫᎬᎳᎷᎻᏀᏃᏒᏔᏙᏚᏞᏟᏢᏦᏴ": "DRTYAJEWMHGZRWVSLCPKB",
+    "ᎥᏏᏧ": "ibd",
+    # Lisu
+    "ꓐꓑꓓꓔꓖꓗꓙꓚꓛꓜꓝꓟꓠꓡꓢꓣꓥꓦꓧꓪꓫꓬꓮꓰꓱꓲꓳꓴ": "BPDTGKJCƆZFMNLSRɅVHWXYAEƎIOU",
+    # Coptic
+    "ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲌ": "BHIKMNOPCTYXZ",
+    "ⲟⲣⲥⲭ": "opcx",
+    # small capitals with the shape of the small letter, and Latin letters with one shape
+    "ᴄᴏᴠᴡᴢꜱᴐ": "covwzsɔ",
+    "ɡÐĐǝↄↃ": "gƉƉəɔƆ",
 }
 # Signs that all show as an apostrophe.
 _APOSTROPHES = "‘’‛ʼʻʽˈʹ′＇ꞌ՚"
@@ -51,7 +62,8 @@ def prototype(ch: str) -> str:
     tag, _, rest = unicodedata.decomposition(ch).partition(" ")
     if tag.startswith("<"):
         letters = "".join(chr(int(x, 16)) for x in rest.split())
-        if tag in _SAME_LOOK or tag == "<compat>" and len(letters) > 1 and all(unicodedata.category(x)[0] == "L" for x in letters):
+        # joined letters, and Roman numbers, which are category Nl
+        if tag in _SAME_LOOK or tag == "<compat>" and (len(letters) > 1 and kind[0] == "L" or kind == "Nl") and all(unicodedata.category(x)[0] == "L" for x in letters):
             return "".join(prototype(x) for x in unicodedata.normalize("NFD", letters))
     return ch
 
@@ -136,30 +148,44 @@ def look_alikes(rows: DataFrame, fixed: DataFrame, row_id: str = "utt_id", fixed
     return one.join(two, "k").filter("t <> u").select(row_id, fixed_id).distinct()
 
 
+# Fixed values, written by Latin letter and apart from the table above, against which SQL holds it: what has the shape of each letter.
+_LOOK_ALIKES = """
+A А Α Ꭺ ꓮ|B В Β Ᏼ ꓐ Ⲃ|C С Ϲ Ꮯ ꓚ Ⲥ|D Ꭰ ꓓ|E Е Ε Ꭼ ꓰ|F ꓝ|G Ԍ Ꮐ ꓖ|H Н Η Ꮋ ꓧ Ⲏ|I І Ӏ Ι ꓲ Ⲓ|J Ј Ϳ Ꭻ ꓙ|K К Κ Ꮶ ꓗ Ⲕ|L Լ Ꮮ ꓡ|M М Μ Ꮇ ꓟ Ⲙ|N Ν ꓠ Ⲛ
+O О Ο Օ ꓳ Ⲟ|P Р Ρ Ꮲ ꓑ Ⲣ|Q Ԛ|R Ꭱ Ꮢ ꓣ|S Ѕ Տ Ꮪ ꓢ|T Т Τ Ꭲ ꓔ Ⲧ|U Ս ꓴ|V Ѵ Ꮩ ꓦ|W Ԝ Ꮃ Ꮤ ꓪ|X Х Χ ꓫ Ⲭ|Y У Υ Ү Ꭹ ꓬ Ⲩ|Z Ζ Ꮓ ꓜ Ⲍ
+a а|b Ꮟ|c с ϲ ⲥ ᴄ|d ԁ Ꮷ|e е|g ց ɡ|h һ հ Һ|i і Ꭵ|j ј ϳ|l ӏ|n ո|o о ο օ ⲟ ᴏ|p р ρ ⲣ|q ԛ|s ѕ ꜱ|u ս|v ѵ ν ᴠ|w ԝ ᴡ|x х ⲭ|y у ү|z ᴢ
+Ɖ Ð Đ|Ə Ә|ə ә ǝ|Ɵ Ө|ɵ ө|Ʒ Ӡ|ʒ ӡ|Æ Ӕ|æ ӕ|Ɛ Ԑ|ɛ ε ԑ|Ɔ Ͻ ꓛ Ↄ|ɔ ͻ ᴐ ↄ|Ʃ Σ|Ʌ Λ ꓥ|Ǝ ꓱ|ɑ α|ɩ ι|ʋ υ|ɣ γ|ƞ η|ɸ φ|ĸ к κ|ȷ յ|ɢ ԍ
+"""
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def skeleton_sql(text: str) -> str:
-    """The skeleton as DuckDB SQL, for texts of the Basic Multilingual Plane: composed instead of decomposed, which tells the same texts apart."""
-    single, several, gone = {}, {}, []
-    for code in [*range(0x20, 0xD800), *range(0xE000, 0x10000)]:
-        ch = chr(code)
-        to = _TABLE[code]
-        # what decomposes canonically is looked up by its parts
-        if to == ch or unicodedata.normalize("NFD", ch) != ch:
-            continue
-        if not to:
-            gone.append(code)
-        elif len(to) == 1:
-            single[ch] = to
-        else:
-            several[ch] = to
-    out = f"replace({text}, chr(13) || chr(10), chr(10))"
-    used = [c for c in several if unicodedata.category(c)[0] == "L" and ord(c) < 0x250 or 0xFB00 <= ord(c) < 0xFB07]
-    for ch in used:
-        quoted = several[ch].replace("'", "''")
-        out = f"replace({out}, '{ch}', '{quoted}')"
-    frm, to = "".join(single), "".join(single.values()).replace("'", "''")
-    out = f"translate({out}, '{frm}', '{to}')"
-    marks = "".join(f"\\x{{{c:x}}}" for c in gone)
-    out = f"nfc_normalize(regexp_replace({out}, '[{marks}]', '', 'g'))"
+    """The skeleton as DuckDB SQL, for texts of the Basic Multilingual Plane: composed instead of decomposed, which tells the same texts apart.
+
+    It is worked out from other sources than ``_TABLE``: letters from the list by Latin letter, width from the distance of full-width forms,
+    joined letters by name, and what does not show from the ranges of Unicode.
+    """
+    alike = {x: row[0] for row in _LOOK_ALIKES.replace("|", "\n").split("\n") if row for x in row[2:].split(" ")}
+    alike |= {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
+    alike |= dict.fromkeys("\u2018\u2019\u201b\u02bc\u02bb\u02bd\u02c8\u02b9\u2032\uff07\ua78c\u055a", "'")
+    alike |= dict.fromkeys("\t\v\f\x1c\x1d\x1e\x1f\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000", " ")
+    alike |= dict.fromkeys("\r\x85\u2028\u2029", "\n")
+    alike |= {chr(0x2160 + i): x for i, x in zip((0, 4, 9), "IVX")} | {chr(0x2170 + i): x for i, x in zip((0, 4, 9), "ivx")}
+    alike |= {chr(base + 12 + i): x for base, letters in ((0x2160, "LCDM"), (0x2170, "lcdm")) for i, x in enumerate(letters)}
+    joined = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb06": "st", "\ufb05": "\u017ft", "\u01c7": "LJ", "\u01c8": "Lj", "\u01c9": "lj", "\u01ca": "NJ", "\u01cb": "Nj", "\u01cc": "nj", "\u01f1": "DZ", "\u01f2": "Dz", "\u01f3": "dz", "\u0132": "IJ", "\u0133": "ij", "\u01c4": "D\u017d", "\u01c5": "D\u017e", "\u01c6": "d\u017e"}
+    out = f"replace(nfc_normalize({text}), chr(13) || chr(10), chr(10))"
+    for ch, letters in joined.items():
+        out = f"replace({out}, {_sql_text(ch)}, {_sql_text(letters)})"
+    # a composed letter of another alphabet changes with its base: decomposed by hand where the base has a Latin shape
+    for code in [*range(0x370, 0x530), *range(0x1F00, 0x2000)]:
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and parts[0] in alike:
+            out = f"replace({out}, {_sql_text(chr(code))}, {_sql_text(parts)})"
+    out = f"translate({out}, {_sql_text(''.join(alike))}, {_sql_text(''.join(alike.values()))})"
+    gone = "\\x{ad}\\x{34f}\\x{600}-\\x{605}\\x{61c}\\x{6dd}\\x{70f}\\x{890}-\\x{891}\\x{8e2}\\x{115f}-\\x{1160}\\x{17b4}-\\x{17b5}\\x{180b}-\\x{180f}\\x{200b}-\\x{200f}\\x{202a}-\\x{202e}\\x{2060}-\\x{2064}\\x{2066}-\\x{206f}\\x{3164}\\x{fe00}-\\x{fe0f}\\x{feff}\\x{ffa0}\\x{fff9}-\\x{fffb}\\x{e0100}-\\x{e01ef}"
+    out = f"nfc_normalize(regexp_replace({out}, '[{gone}]', '', 'g'))"
     for mark in "\u0300\u0301\u0302\u0303\u0304\u030c\u0307":
         out = f"replace({out}, 'ı{mark}', '{unicodedata.normalize('NFC', 'i' + mark)}')"
     return f"regexp_replace(nfc_normalize({out}), '^[ \\n]+|[ \\n]+$', '', 'g')"

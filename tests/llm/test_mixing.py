@@ -15,8 +15,7 @@ def documents(spark, sizes):
     return spark.createDataFrame(rows, "doc_id long, text string, source string, weight double")
 
 
-def test_shares_are_met(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "RANGE", 50)
+def test_shares_are_met(spark):
     docs = documents(spark, {"big": 1500, "mid": 300, "tiny": 20, "other": 50})
     targets = spark.createDataFrame([("BIG", 0.5, 1), ("mid", 0.3, None), ("tiny", 0.1, 8), ("absent", 0.1, 2), (None, 0.5, 1), ("mid", float("nan"), 1)], TARGETS)
     chosen, shares = mixing.mix(docs, targets)

@@ -65,3 +65,25 @@ def test_partial_results_combine(spark):
     parts = [quantiles.partial_sketches(df.filter(F.col("id") % 3 == i).repartition(5), ["k"], ["x"]) for i in range(3)]
     merged = quantiles.answers(quantiles.merge_sketches(parts[0].union(parts[1]).union(parts[2]), ["k"]), ["k"]).collect()
     assert len(merged) == 7 and all(abs(r["p50"] / 20_000 - 0.5) <= r["rank_error"] + 0.001 for r in merged)
+
+
+def test_tasks_throw_independent_coins(spark):
+    """A group over many tasks with equal rows: with equal coins their errors would add up, not cancel."""
+    n, tasks = 4_000, 60
+    df = spark.range(n * tasks, numPartitions=tasks).select(F.lit(1).alias("k"), (F.col("id") % n).cast("double").alias("x"))
+    parts = quantiles.partial_sketches(df, ["k"], ["x"], k=64)
+    seeds = [Sketch.load(r["sketch"]).seed for r in parts.collect()]
+    assert len(set(seeds)) == len(seeds) == tasks
+    r = quantiles.answers(quantiles.merge_sketches(parts, ["k"]), ["k"]).first()
+    for p in quantiles.PERCENTILES:
+        assert abs(r[f"p{p:02d}"] / n - p / 100) <= r["rank_error"] + 1 / n
+
+
+def test_tasks_hold_a_bounded_number_of_values(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ROWS", 1000)
+    monkeypatch.setattr(quantiles, "HELD", 500)
+    df = spark.range(20_000, numPartitions=1).select((F.col("id") % 40).alias("k"), F.col("id").cast("double").alias("x"))
+    parts = quantiles.partial_sketches(df, ["k"], ["x"], k=64)
+    assert parts.count() >= 40
+    merged = quantiles.answers(quantiles.merge_sketches(parts, ["k"]), ["k"]).collect()
+    assert len(merged) == 40 and all(r["n"] == 500 and abs(r["p50"] / 20_000 - 0.5) <= r["rank_error"] + 0.002 for r in merged)

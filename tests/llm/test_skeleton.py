@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sonolode.llm import skeleton as s
 from sonolode.session import table
 
-ALIKE = [("café", "café"), ("саt", "cat"), ("Ｔｈｅ　ｃａｔ２", "The cat2"), ("ﬁne oﬃce", "fine office"), ("a​b­c﻿", "abc"), ("a b c", "a b c"), ("don’t donʼt", "don't don't"), ("  x\n", "x"), ("ọ́", "ọ́"), ("ọ́", "ọ́"), ("ı́", "í"), ("ɛ́", "έ"), ("ǌa", "nja"), ("ọ͏́", "ọ́"), ("a\r\nb", "a\nb")]
-DIFFERENT = [("cat", "Cat"), ("ọ", "o"), ("ó", "ò"), ("ɓa", "ba"), ("a.", "a"), ("I", "l"), ("0", "O"), ("a  b", "a b"), ("ı", "i"), ("x²", "x2"), ("ń", "ñ"), ("rn", "m"), ("a?", "a!"), ("ɖ", "d"), ("…", "."), ("a\nb", "a b")]
+ALIKE = [("café", "café"), ("саt", "cat"), ("Ｔｈｅ　ｃａｔ２", "The cat2"), ("ﬁne oﬃce", "fine office"), ("a​b­c﻿", "abc"), ("a b c", "a b c"), ("don’t donʼt", "don't don't"), ("  x\n", "x"), ("ọ́", "ọ́"), ("ọ́", "ọ́"), ("ı́", "í"), ("ɛ́", "έ"), ("ǌa", "nja"), ("ọ͏́", "ọ́"), ("a\r\nb", "a\nb"), ("ᎪᏚ", "AS"), ("ꓐ", "B"), ("ⲟⲞ", "oO"), ("Ⅴⅼ", "Vl"), ("Ⅷ", "VIII"), ("ᴏ", "o"), ("α", "ɑ"), ("ι", "ɩ"), ("υ", "ʋ"), ("γ", "ɣ"), ("𝐀𝑏𝕮", "AbC"), ("ӘǝΣ", "ƏəƩ"), ("Տօ", "So"), ("Ά", "Á")]
+DIFFERENT = [("cat", "Cat"), ("ọ", "o"), ("ó", "ò"), ("ɓa", "ba"), ("a.", "a"), ("I", "l"), ("0", "O"), ("a  b", "a b"), ("ı", "i"), ("x²", "x2"), ("ń", "ñ"), ("rn", "m"), ("a?", "a!"), ("ɖ", "d"), ("…", "."), ("a\nb", "a b"), ("α", "a"), ("ι", "i"), ("υ", "u"), ("γ", "y"), ("η", "n"), ("ᴋ", "k"), ("З", "3"), ("①", "1")]
 
 
 @pytest.mark.parametrize(("a", "b"), ALIKE)
@@ -33,6 +33,11 @@ def test_letters_of_the_languages_stay_apart():
     assert len({s.skeleton(x) for x in marked}) == len(marked)
 
 
+def test_table_agrees_with_the_list_by_latin_letter():
+    listed = {x: row[0] for row in s._LOOK_ALIKES.replace("|", "\n").split("\n") if row for x in row[2:].split(" ")}
+    assert listed == {a: b for shapes, to in s._SHAPES.items() for a, b in zip(shapes, to, strict=True)}
+
+
 def test_look_alikes(spark, small):
     fixed = spark.createDataFrame([(1, "The cat"), (2, "the cat"), (3, None), (4, "​"), (5, "Ｔhe cat")], "prompt_id long, text string")
     rows = spark.createDataFrame([(10, "Tһe cat", "x"), (10, "Tһe cat", "x"), (11, "The cat", ""), (12, None, ""), (13, "", ""), (None, "Tһe cat", ""), (14, "THE CAT", ""), (15, " " * 1000 + "the cat", "")], "utt_id long, text string, k string").withColumns({"t": F.lit(1), "u": F.lit(2), "prompt_id": F.lit(3)})

@@ -93,3 +93,31 @@ def test_budget(spark, small):
     clash = d.withColumns({n: F.lit(1) for n in ("n_tokens", "__row", "__chunk", "language", "weight", "id")})
     assert budget.token_budget(budget.text_tokens(u.limit(0), clash, r.limit(0))).count() > 0
     assert budget.token_budget(budget.text_tokens(u.limit(0), d.limit(0), r)).count() == 0
+
+
+@pytest.mark.parametrize("tokenizer", ["byte_bpe_50k", "byte_bpe_multi_50k", "word_bpe_49k", "piece_bpe_32k"])
+def test_boundaries_of_every_tokenizer(tokenizer):
+    rng = random.Random(11)
+    count, places = budget.counter(tokenizer, vocab.folder()), budget.boundary(tokenizer, vocab.folder())
+    bits = ["word", "Ọ̀rọ̀", "e\u0301", "\u0301x", "12", "9a", " ", "  ", "\n", " \t", "'s", "!?", "\u3000", "\xa0", "ΑΣ", "<s>", "</w>", "▁", "ﬁ", "😀"]
+    for _ in range(300):
+        text = "".join(rng.choice(bits) + (" " if rng.random() < 0.4 else "") for _ in range(60))
+        chunks = budget.cut(text, 10, places)
+        assert len(chunks) > 1 and sum(count(chunks)) == count([text])[0]
+
+
+def test_no_boundary_is_taken_for_granted(tmp_path):
+    (tmp_path / "other.json").write_text('{"normalizer": null, "pre_tokenizer": {"type": "Metaspace"}, "model": {}}')
+    assert budget.boundary("other", str(tmp_path)) is None and budget.boundary("absent", str(tmp_path)) is None
+
+
+def test_long_texts_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(encode, "LONG_TEXT", 50)
+    texts = [*ODD, "one two 3 four " * 300, "x" * 400]
+    df = spark.createDataFrame([*enumerate(texts), (1, texts[-2])], "doc_id long, text string")
+    got = {}
+    for r in encode.encode_documents(df).collect():
+        got.setdefault(r["doc_id"], []).append(r["ids"])
+    want = {i: [x] for i, x in enumerate(reference(texts))}
+    want[1] = [*want[1], want[len(texts) - 2][0]]
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}

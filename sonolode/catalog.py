@@ -92,7 +92,7 @@ def corpus_metrics_merged(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""with {_RECORDS}, {_LONG}, ranked as (select *, row_number() over (partition by corpus, split, language, metric order by x) - 1 as r, count(x) over (partition by corpus, split, language, metric) as k from long where x is not null),
  plain as (select corpus, split, language, metric, count(*) as count, count(x) as n, round(avg(x), 6) as mean, round(stddev_samp(x), 4) as std from long group by all),
- q as (select corpus, split, language, metric, max(case when r = round_even((k - 1) * 0.1, 0) then x end) as p10, max(case when r = round_even((k - 1) * 0.5, 0) then x end) as p50, max(case when r = round_even((k - 1) * 0.9, 0) then x end) as p90 from ranked group by all)
+ q as (select corpus, split, language, metric, max(case when r = round_even((k - 1) * 0.1, 0) then x end) as p10, median(x) as p50, max(case when r = round_even((k - 1) * 0.9, 0) then x end) as p90 from ranked group by all)
  select p.*, round(q.p10, 6) as p10, round(q.p50, 6) as p50, round(q.p90, 6) as p90 from plain p left join q on p.corpus is not distinct from q.corpus and p.split is not distinct from q.split and p.language is not distinct from q.language and p.metric = q.metric""")
 def rich_metrics(spark: SparkSession, d: str) -> DataFrame:
     out = metrics.rich_metrics(records(spark, d))
@@ -164,9 +164,9 @@ def registry_targets(spark: SparkSession, d: str) -> DataFrame:
     return shards.target_names(table(spark, d, "registry"))
 
 
-@query("""with e as (select corpus, repo_id, case when coalesce(include_lang_as_arg, false) then map_keys(languages) else map_keys(languages)[1:1] end as ls, map_keys(splits) as ss from registry),
- l as (select corpus, repo_id, unnest(ls) as language, ss from e), p as (select corpus, repo_id, language, unnest(ss) as split from l)
- select corpus, language, split, repo_id || '/' || language || '/' || split as path, substr(sha256(repo_id || '/' || language || '/' || split), 1, 20) as shard_id from p""")
+@query("""with named as (select corpus, language, split, repo_id || '/' || language || '/' || split as path from (select corpus, repo_id, unnest(map_keys(languages)) as language, splits from registry where include_lang_as_arg), unnest(map_keys(splits)) as s(split)),
+ plain as (select corpus, map_keys(languages)[1] as language, split, repo_id || '/' || split as path from registry, unnest(map_keys(splits)) as s(split) where not coalesce(include_lang_as_arg, false) and cardinality(languages) > 0)
+ select *, substr(sha256(path), 1, 20) as shard_id from (from named union all from plain)""")
 def pseudo_shards(spark: SparkSession, d: str) -> DataFrame:
     return shards.pseudo_shards(table(spark, d, "registry"))
 
@@ -399,9 +399,3 @@ def clip_headers(spark: SparkSession, d: str) -> DataFrame:
 def flag_records(spark: SparkSession, d: str) -> DataFrame:
     line = F.concat(F.lit("--corpus "), "repo_id", F.lit(" --verified "), "filename")
     return table(spark, d, "shards").select("shard_id", flags.flags_native(line).alias("r")).select("shard_id", F.col("r")["corpus"].alias("corpus"), F.col("r")["verified"].alias("verified"))
-
-
-@query("select o_orderpriority, count(*) as orders, round(sum(o_totalprice), 2) as total from orders where o_orderdate < timestamp '1996-01-01' group by 1")
-def orders_by_priority(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp"))
-    return rows.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))

@@ -69,6 +69,11 @@ class Ledger:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._Path(self.path))]
         return max((int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()), default=-1)
 
+    @property
+    def current(self) -> str:
+        """The folder of the current version."""
+        return f"{self.path}/v{self._version():08d}"
+
     def entries(self) -> DataFrame:
         version = self._version()
         return self.spark.read.schema(SCHEMA).parquet(f"{self.path}/v{version:08d}") if version >= 0 else self.spark.createDataFrame([], SCHEMA)
@@ -76,7 +81,7 @@ class Ledger:
     def _save(self, entries: DataFrame) -> None:
         version = self._version()
         staging = f"{self.path}/.next-{version + 1:08d}"
-        entries.select("repo_id", "repo_type", "filename", "status", "local_dir").coalesce(1).write.mode("overwrite").parquet(staging)
+        entries.select("repo_id", "repo_type", "filename", "status", "local_dir").write.mode("overwrite").parquet(staging)
         if not self._fs.rename(self._Path(staging), self._Path(f"{self.path}/v{version + 1:08d}")):
             raise OSError(f"cannot commit {staging}")
         if version > 0:

@@ -54,7 +54,9 @@ def finalize(states: DataFrame, keys: Sequence[str] = KEYS, metrics: Sequence[st
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], shares: dict[str, float]) -> DataFrame:
-    """(keys, metric, and a column per share): the value of rank round((n - 1) q), counted from 0, of the finite values.
+    """(keys, metric, and a column per share): the value of rank round((n - 1) q), counted from 0, of the finite values; for a share of one half the median.
+
+    The median of an even number of values is the mean of the two in the middle.
 
     A group's values are counted by cells of their logarithm, which cover any range; only the cells that hold a wanted
     rank are then sorted, after equal values have been counted together. So no task sorts a whole group.
@@ -71,12 +73,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     cells = counted.groupBy("g", "m", "cell").agg(F.sum("n").alias("in_cell"))
     over = Window.partitionBy("g", "m")
     cells = cells.withColumn("before", F.sum("in_cell").over(over.orderBy("cell")) - F.col("in_cell")).withColumn("total", F.sum("in_cell").over(over))
-    ranks = F.array(*[F.struct(F.lit(k).alias("name"), F.rint((F.col("total") - 1) * F.lit(q)).alias("rank")) for k, q in shares.items()])
-    wanted = cells.withColumn("q", F.explode(ranks)).filter((F.col("q.rank") >= F.col("before")) & (F.col("q.rank") < F.col("before") + F.col("in_cell")))
-    met = counted.join(wanted.select("g", "m", "cell", "before", "q.name", "q.rank"), ["g", "m", "cell"])
-    start = F.col("before") + F.sum("n").over(Window.partitionBy("g", "m", "cell", "name").orderBy("x")) - F.col("n")
+    end = F.col("total") - 1
+    at = [(k, r) for k, q in shares.items() for r in ([F.floor(end / 2), F.ceil(end / 2)] if q == 0.5 else [F.rint(end * F.lit(q))])]
+    ranks = F.array(*[F.struct(F.lit(k).alias("name"), r.cast("double").alias("rank")) for k, r in at])
+    wanted = cells.select("*", F.posexplode(ranks).alias("half", "q")).filter((F.col("q.rank") >= F.col("before")) & (F.col("q.rank") < F.col("before") + F.col("in_cell")))
+    met = counted.join(wanted.select("g", "m", "cell", "before", "q.name", "q.rank", "half"), ["g", "m", "cell"])
+    start = F.col("before") + F.sum("n").over(Window.partitionBy("g", "m", "cell", "name", "rank", "half").orderBy("x")) - F.col("n")
     hit = met.withColumn("start", start).filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n")))
-    found = hit.groupBy("g", "m").pivot("name", list(shares)).agg(F.first("x"))
+    found = hit.groupBy("g", "m").pivot("name", list(shares)).agg(F.avg("x"))
     label = F.element_at(F.array(*[F.lit(m) for m in metrics]), F.col("m") + 1)
     return found.join(named, "g").select(*keys, label.alias("metric"), *shares)
 

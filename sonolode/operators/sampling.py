@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows per range when rows are numbered in parallel.
-RANGE = 50_000
-
-
 def leaf_weights(hours: DataFrame, beta_corpus: float, beta_language: float, split: str = "train") -> DataFrame:
     """(corpus, language, p) from (corpus, split, language, hours): P(corpus) P(language given corpus).
 
@@ -50,31 +47,59 @@ def numbered(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
     return met.select(*[F.col(f"a.{c}") for c in df.columns], (F.col("b.__before") + row).alias(name))
 
 
+def smoothed_first(hours: DataFrame, beta: float, column: str = "hours") -> DataFrame:
+    """``hours`` with ``weight``: each share of the whole raised to ``beta``, and not scaled to 1 again."""
+    total = hours.agg(F.sum(column).alias("__total"))
+    return hours.crossJoin(F.broadcast(total)).withColumn("weight", F.pow(F.try_divide(F.col(column), F.col("__total")), F.lit(beta))).drop("__total")  # one row
+
+
+def drawn_leaf(u: Column, bounds: Sequence[float]) -> Column:
+    """The number of the first of the rising ``bounds`` that is above ``u``, found by halving an array; the last one where none is."""
+    edges = F.array(*[F.lit(float(b)) for b in bounds])
+    steps = F.sequence(F.lit(1), F.lit(max(1, len(bounds).bit_length())))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds) - 1).alias("hi"))
+
+    def halve(span: Column, _: Column) -> Column:
+        mid = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        above = F.get(edges, mid) > u
+        return F.struct(F.when(above, span["lo"]).otherwise(F.least(mid + 1, span["hi"])).alias("lo"), F.when(above, mid).otherwise(span["hi"]).alias("hi"))
+
+    return F.aggregate(steps, start, halve, lambda span: span["lo"])
+
+
 def interleave_plan(sizes: DataFrame, seed: int, leaf: Sequence[str] = ("corpus", "language")) -> DataFrame:
     """(position, leaf, row): the order in which rows of the leaves follow one another, from (leaf, p, n).
 
     Each position draws a leaf by its probability; a leaf's draws run through its rows again and again, until every leaf has been
-    used up once. Leaves without rows or chance are left out. The draws are hashes of seed and position.
+    used up once. Leaves without rows or chance are left out. The draws are hashes of seed and position. A position costs
+    a search of an array of the leaves' bounds; should some leaf lack draws, only further positions are drawn.
     """
+    from sonolode.session import staged
+
     spark = sizes.sparkSession
-    every = Window.partitionBy(F.lit(1)).orderBy(*leaf)  # one row per leaf
-    used = sizes.filter("p > 0 and n > 0")
-    table = used.withColumn("upper", F.sum("p").over(every)).withColumn("lower", F.col("upper") - F.col("p"))
-    table = table.withColumn("last", F.row_number().over(every) == F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))).withColumn("scale", F.sum("p").over(Window.partitionBy(F.lit(1))))
-    needed = used.agg(F.max(F.col("n") / F.col("p")) * F.sum("p")).first()[0]
-    draws = int((needed or 0) * 1.5) + 1000 if needed else 0
-    while True:
-        u = uniform(F.lit(seed), F.col("position"))
-        drawn = spark.range(draws).withColumnRenamed("id", "position").withColumn("u", u)
-        hit = (F.col("u") * F.col("scale") >= F.col("lower")) & ((F.col("u") * F.col("scale") < F.col("upper")) | F.col("last"))
-        met = drawn.join(F.broadcast(table), hit).select("position", *leaf, "n")  # the leaves are few: partitions, not rows
-        turns = numbered(met, ["position"], leaf, "turn")
-        ends = turns.filter(F.col("turn") == F.col("n") - 1).select("position")
-        reached = ends.agg(F.count(F.lit(1)).alias("c"), F.max("position").alias("m")).first()
-        if reached["c"] == table.count() or not draws:
-            stop = reached["m"] if reached["m"] is not None else -1
-            return turns.filter(F.col("position") <= stop).select("position", *leaf, (F.col("turn") % F.col("n")).alias("row"))
-        draws *= 2
+    # the leaves are folders of a dataset: their names and bounds fit anywhere
+    used = [r.asDict() for r in sizes.filter("p > 0 and n > 0").select(*leaf, "p", "n").orderBy(*leaf).collect()]
+    names = spark.createDataFrame([(i, *(r[c] for c in leaf), r["n"]) for i, r in enumerate(used)], "__leaf int, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.select(*leaf).schema) + ", n bigint")
+    total = sum(r["p"] for r in used)
+    bounds = [float(b) for b in accumulate(r["p"] / total for r in used)] or [1.0]
+    step = int(max((r["n"] / r["p"] for r in used), default=0) * total * 1.5) + 1000 if used else 0
+    drawn, start = None, 0
+    while used:
+        u = uniform(F.lit(seed), F.col("id"))
+        more = staged(spark.range(start, start + step).select(F.col("id").alias("position"), drawn_leaf(u, bounds).alias("__leaf")), "draws")
+        drawn, start = more if drawn is None else drawn.unionByName(more), start + step
+        counts = {r["__leaf"]: r["count"] for r in drawn.groupBy("__leaf").count().collect()}  # one row per leaf
+        if all(counts.get(i, 0) >= r["n"] for i, r in enumerate(used)):
+            break
+    met = (drawn if drawn is not None else spark.range(0).select(F.col("id").alias("position"), F.lit(0).alias("__leaf"))).join(F.broadcast(names), "__leaf")  # one row per leaf
+    turns = numbered(met, ["position"], ["__leaf"], "turn")
+    stop = turns.filter(F.col("turn") == F.col("n") - 1).agg(F.max("position")).first()[0]
+    return turns.filter(F.col("position") <= F.lit(-1 if stop is None else stop)).select("position", *leaf, (F.col("turn") % F.col("n")).alias("row"))
+
+
+def buffered_shuffle(df: DataFrame, seed: int = 42) -> DataFrame:
+    """Rows of each task in random order, by a sort that spills and no exchange: what a buffer does to a stream, for buffers of any size."""
+    return df.sortWithinPartitions(F.rand(seed))
 
 
 def shuffled(df: DataFrame, seed: int, key: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 import shutil
 import time
 from collections.abc import Callable, Mapping, Sequence
@@ -73,6 +75,7 @@ def card_configs(registry: DataFrame) -> DataFrame:
 
 def card(registry: DataFrame, title: str, licence: str, languages: Sequence[str]) -> str:
     """The Markdown card of a dataset, its configurations in front matter; the registry bounds its size."""
+    # The keys of the front matter.
     found: dict[str, list[tuple[str, str]]] = {}
     for r in card_configs(registry).orderBy("config", "split").collect():
         found.setdefault(r["config"], []).append((r["split"], r["path"]))
@@ -90,48 +93,74 @@ def repository_name(repo: str) -> str:
 
 
 def plan_upload(files: Sequence[str], root: str, prefix: str = "") -> dict[str, str]:
-    """Remote path of each file: Parquet under ``data/``, the rest as it lies; a file outside ``root`` is an error."""
-    base, plan = Path(root).resolve(), {}
+    """Remote path of each file: Parquet under ``data/`` (once), the rest as it lies; a file outside ``root`` is an error."""
+    base, plan = plain_path(root).rstrip("/") + "/", {}
     for f in files:
-        path = Path(f).resolve()
-        if not path.is_relative_to(base):
+        path = posixpath.normpath(plain_path(f)) if ":" not in f else plain_path(f)
+        if not path.startswith(base) or "/../" in path:
             raise ValueError(f"outside of {root}: {f}")
-        folder = "data" if path.suffix == ".parquet" else ""
-        plan[str(path)] = "/".join(x for x in (prefix.strip("/"), folder, path.relative_to(base).as_posix()) if x)
+        name = path[len(base) :]
+        folder = "data" if name.endswith(".parquet") and not name.startswith("data/") else ""
+        plan[f] = "/".join(x for x in (prefix.strip("/"), folder, name) if x)
     return plan
 
 
-def copy_to(target: str) -> Callable[[Mapping[str, str]], None]:
-    """A commit that copies files below a folder."""
+def plain_path(path: str) -> str:
+    """A path as plain text: no scheme if it is on this machine, else one slash after it, as Spark and Hadoop write it differently."""
+    return re.sub(r"^file:", "", re.sub(r"^(\w+):/+", r"\1:/", path))
 
-    def commit(group: Mapping[str, str]) -> None:
+
+def copy_to(target: str, spark: SparkSession | None = None) -> Callable[[Mapping[str, str]], None]:
+    """A commit that copies files below a folder: on this machine, or with a session between any file systems that it reaches."""
+
+    def local(group: Mapping[str, str]) -> None:
         for source, name in group.items():
             to = Path(target) / name
             to.parent.mkdir(parents=True, exist_ok=True)
-            shutil.copyfile(source, to)
+            shutil.copyfile(plain_path(source), to)
+
+    def remote(group: Mapping[str, str]) -> None:
+        jvm, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+        for source, name in group.items():
+            of, to = jvm.Path(source), jvm.Path(f"{target.rstrip('/')}/{name}")
+            if not jvm.FileUtil.copy(of.getFileSystem(conf), of, to.getFileSystem(conf), to, False, conf):
+                raise OSError(f"cannot copy {source}")
 
-    return commit
+    return remote if spark is not None else local
 
 
-def upload(plan: Mapping[str, str], commit: Callable[[Mapping[str, str]], None], group: int = 5, tries: int = 5, wait: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> list[str]:
-    """Commit files in groups; a group that fails is tried again after 1, 2, 4, ... times ``wait``. The files that failed."""
-    items, failed = sorted(plan.items()), []
-    for start in range(0, len(items), group):
-        part = dict(items[start : start + group])
+def upload(plan: Mapping[str, str], commit: Callable[[Mapping[str, str]], None], group: int = 5, tries: int = 5, wait: float = 5.0, sleep: Callable[[float], None] = time.sleep, last: Mapping[str, str] | None = None) -> list[str]:
+    """Commit files in groups; a group that fails, for whatever reason, is tried again after 1, 2, 4, ... times ``wait``. The files that failed.
+
+    ``last`` goes with the final group. No group is sent after one that failed for good.
+    """
+    items = sorted(plan.items())
+    parts = [dict(items[start : start + group]) for start in range(0, len(items), group)] or [{}]
+    parts[-1] |= dict(last or {})
+    for i, part in enumerate(p for p in parts if p):
         for attempt in range(tries):
             try:
                 commit(part)
                 break
-            except OSError:
+            except Exception:
                 if attempt + 1 == tries:
-                    failed += list(part)
-                else:
-                    sleep(wait * 2**attempt)
-    return failed
+                    return [f for p in parts[i:] for f in p]
+                sleep(wait * 2**attempt)
+    return []
+
+
+def download(source: str, target: str, name: str, tries: int = 5, wait: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> str | None:
+    """Copy a file or everything below a folder, trying again after failures; None where there is no such thing."""
+    for attempt in range(tries):
+        try:
+            return _fetch(source, target, name)
+        except OSError:
+            if attempt + 1 == tries:
+                raise
+            sleep(wait * 2**attempt)
 
 
-def download(source: str, target: str, name: str) -> str | None:
-    """Copy a file or everything below a folder; None where there is no such thing."""
+def _fetch(source: str, target: str, name: str) -> str | None:
     path, to = Path(source) / name, Path(target) / name
     if not path.exists():
         return None

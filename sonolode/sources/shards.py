@@ -22,6 +22,18 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found if s.isFile()) if found else []
 
 
+def files_below(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
+    """All files below a folder on any file system that Spark reads, sorted; none where there is no such folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found, every = [], fs.listFiles(path, True)
+    while every.hasNext():
+        found.append(every.next().getPath().toString())
+    return sorted(f for f in found if f.endswith(suffix))
+
+
 def file_shards(spark: SparkSession, root: str, corpus: Corpus) -> DataFrame:
     """(language, split, path, shard_id) of a corpus that is kept as files.
 
@@ -47,12 +59,12 @@ def file_shards(spark: SparkSession, root: str, corpus: Corpus) -> DataFrame:
 def pseudo_shards(registry: DataFrame) -> DataFrame:
     """(corpus, language, split, path, shard_id) for registry rows read by name: languages times splits of each entry.
 
-    Where the language is no argument of the reader, the first one stands for all.
+    Where the language is no argument of the reader, the first one stands for all and is no part of the path.
     """
-    languages = F.map_keys("languages")
-    some = F.when(F.coalesce("include_lang_as_arg", F.lit(False)), languages).otherwise(F.slice(languages, 1, 1))
-    rows = registry.select("corpus", "repo_id", F.explode(some).alias("language"), "splits").select("corpus", "repo_id", "language", F.explode(F.map_keys("splits")).alias("split"))
-    rows = rows.withColumn("path", F.concat_ws("/", "repo_id", "language", "split"))
+    languages, by_language = F.map_keys("languages"), F.coalesce("include_lang_as_arg", F.lit(False))
+    some = F.when(by_language, languages).otherwise(F.slice(languages, 1, 1))
+    rows = registry.select("corpus", "repo_id", by_language.alias("named"), F.explode(some).alias("language"), "splits").select("corpus", "repo_id", "named", "language", F.explode(F.map_keys("splits")).alias("split"))
+    rows = rows.withColumn("path", F.concat_ws("/", "repo_id", F.when(F.col("named"), F.col("language")), "split"))
     return rows.select("corpus", "language", "split", "path", shard_id("path").alias("shard_id"))
 
 

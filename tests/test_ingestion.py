@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sonolode import __main__ as cli
 from sonolode import sinks
 from sonolode.functions.audio import encode_wav
-from sonolode.plans.pipeline import Ingestion
+from sonolode.operators.ledger import Ledger
+from sonolode.plans.pipeline import Ingestion, UploadError
 from sonolode.sources import flags, registry, shards
 from sonolode.streaming.arrivals import follow
 
@@ -52,18 +54,55 @@ def test_ingestion_runs_once(spark, tmp_path, corpus):
     assert stats["train"]["hours"] == pytest.approx(6 * 0.25 / 3600)
     assert run.run(corpus) == 0 and run.statistics().count() == 2
 
-    def broken(group):
-        raise OSError
-
-    assert len(run.publish(corpus, broken, tries=1)) == 3
-    assert run.publish(corpus, sinks.copy_to(f"{tmp_path}/remote")) == [] == run.publish(corpus, broken, tries=1)
-    assert spark.read.parquet(f"{tmp_path}/remote/data/data").count() == 21 and run.run(corpus) == 0
+    def statuses():
+        return {r["status"] for r in Ledger(spark, f"{tmp_path}/out/ledger", "org/Demo").entries().collect()}
+
+    for error in (OSError, RuntimeError, KeyError):
+
+        def broken(group, error=error):
+            raise error
+
+        with pytest.raises(UploadError):
+            run.publish(corpus, broken, tries=1)
+        assert statuses() == {"completed"}
+    with pytest.raises(KeyboardInterrupt):
+        run.publish(corpus, lambda group: (_ for _ in ()).throw(KeyboardInterrupt))
+    assert statuses() == {"completed"}
+    assert len(run.publish(corpus, sinks.copy_to(f"{tmp_path}/remote"))) == 3 and statuses() == {"uploaded"}
+    assert run.publish(corpus, broken, tries=1) == [] and run.run(corpus) == 0
+    # the card's patterns match what was published, and ledger and state went along
+    text = sinks.card(registry.registry_table(spark, {"demo": corpus}), "Demo", "other", ["yo"])
+    globs = [line.split("path: ")[1] for line in text.splitlines() if "path: " in line]
+    assert len(globs) == 2 and sum(spark.read.parquet(f"{tmp_path}/remote/{g}").count() for g in globs) == 21
+    assert {r["status"] for r in Ledger(spark, f"{tmp_path}/remote/ledger", "org/Demo").entries().collect()} == {"uploaded"}
+    assert spark.read.parquet(f"{tmp_path}/remote/state").agg(F.sum("count")).first()[0] == 21
     data = shards.read_dataset(spark, f"{tmp_path}/out/data")
     assert data.count() == 21
     assert {r["text"] for r in data.select("text").distinct().collect()} == {""} | {f"te t number {i} line" for i in range(6)}
     assert spark.read.text(f"{tmp_path}/out/manifest").count() == 12
 
 
+def test_corpora_read_by_name(spark, tmp_path):
+    """The strategy base, with and without a configuration per language, by the command line; a second run restores and does nothing."""
+    for folder in ("org/one/train", "org/two/fon/train", "org/two/fon/test", "org/two/ewe/train", "org/two/ewe/test"):
+        raw_rows(spark).withColumn("transcript", F.lit("dropped first")).coalesce(1).write.parquet(f"{tmp_path}/in/{folder}")
+    (tmp_path / "r.yaml").write_text("""
+corpora:
+- one: {repo_id: org/one, splits: {train: None}, languages: [{yor_ng: None}], columns: {utterance: transcript}, exclude_cols: [secret, transcript]}
+- two: {repo_id: org/two, include_lang_as_arg: true, splits: {train: None, test: None}, languages: {fon: None, ewe: None}, columns: {utterance: transcript}, exclude_cols: [transcript], annotation: {fon: [x]}}
+""")
+    arguments = ["run", str(tmp_path), "r", f"{tmp_path}/in", f"{tmp_path}/out", "--remote", f"{tmp_path}/remote"]
+    cli.main(arguments)
+    rows = shards.read_dataset(spark, f"{tmp_path}/remote/data")
+    found = {tuple(r)[:3]: r["n"] for r in rows.groupBy("corpus", "split", "language").agg(F.count("*").alias("n")).collect()}
+    assert found == {("one", "train", "yor"): 7} | {("two", s, x): 7 for s in ("train", "test") for x in ("fon", "ewe")}
+    assert not {"dropped first"} & {r["text"] for r in rows.filter("corpus = 'one'").select("text").collect()}
+    assert "config_name: two_fon" in (tmp_path / "remote/README.md").read_text() and list((tmp_path / "remote/metrics").glob("*.csv"))
+    again = cli.run_full(spark, str(tmp_path), "r", f"{tmp_path}/in", f"{tmp_path}/new", f"{tmp_path}/remote", restore=True)
+    assert again == {"one": 0, "two": 0}
+    assert "pyspark" in cli.versions()
+
+
 def test_dataset_pruning_and_leaves(spark, tmp_path):
     rows = spark.range(20).select(F.col("id").cast("string").alias("text"), F.lit("c d").alias("corpus"), F.when(F.col("id") < 5, "train").otherwise("test").alias("split"), F.lit("007").alias("language"))
     sinks.write_dataset(rows, f"{tmp_path}/d")
@@ -109,14 +148,16 @@ def test_upload_retries_and_reports(tmp_path):
         (tmp_path / n).write_text(n)
     plan = sinks.plan_upload([str(tmp_path / n) for n in ("a.parquet", "b.txt", "c.parquet")], str(tmp_path), "p")
     assert sorted(plan.values()) == ["p/b.txt", "p/data/a.parquet", "p/data/c.parquet"]
-    with pytest.raises(ValueError):
-        sinks.plan_upload(["/etc/hosts"], str(tmp_path))
+    assert sinks.plan_upload([f"file:{tmp_path}/data/x.parquet"], f"file://{tmp_path}") == {f"file:{tmp_path}/data/x.parquet": "data/x.parquet"}
+    for outside in ("/etc/hosts", f"{tmp_path}/../x"):
+        with pytest.raises(ValueError):
+            sinks.plan_upload([outside], str(tmp_path))
     waits, calls = [], []
 
     def commit(group):
         calls.append(sorted(group.values()))
         if "p/data/c.parquet" in group.values() or len(calls) == 1:
-            raise OSError
+            raise ValueError
 
     failed = sinks.upload(plan, commit, group=2, tries=3, wait=1, sleep=waits.append)
     assert [f.rsplit("/", 1)[1] for f in failed] == ["c.parquet"] and waits == [1, 1, 2]

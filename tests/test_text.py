@@ -41,6 +41,8 @@ def test_syllables(spark):
         (None, "eng", False, ""),
         ("  \n", "eng", False, ""),
         ("x" * 100_000, "eng", False, "x" * 100_000),
+        ("a’b’c’ ’d e’", "*", False, "a b'c d e"),
+        ("a’" * 100_000, "*", False, "a " * 99_998 + "a'a"),
     ],
 )
 def test_normalize(given_, language, numbers, expected):
@@ -59,7 +61,7 @@ def test_phrases(spark):
     for raw, expected in cases.items():
         assert text.replace_phrases(raw, table) == expected
     df = spark.createDataFrame(list(cases.items()), "a string, b string")
-    assert df.filter((text.with_phrases("a", table) != F.col("b")) | (text.with_phrases_native("a", table) != F.col("b"))).count() == 0
+    assert df.filter(text.with_phrases("a", table) != F.col("b")).count() == 0
     with pytest.raises(ValueError):
         text.phrase_table({"A!": "x", "a": "y"})
 

@@ -5,6 +5,9 @@ Every query runs over its whole tables. Values that hang on the order of floatin
 
 from __future__ import annotations
 
+import atexit
+import unicodedata
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +19,7 @@ from sonolode.functions import text as texts
 from sonolode.functions.names import CORPUS_SQL, LANGUAGE_SQL, corpus_name, language_code
 from sonolode.functions.syllables import syllabified
 from sonolode.operators import ledger, metrics, projection, sampling
-from sonolode.session import shared_folder, table
+from sonolode.session import _remove, shared_folder, table
 from sonolode.sources import flags, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,13 +128,26 @@ def leaf_weights(spark: SparkSession, d: str) -> DataFrame:
     return _leaf_weights(spark, d).withColumn("p", F.round("p", 9))
 
 
-@query()
+@query(f"""with {_LEAVES}, n as (select corpus, language, count(*) as n from records where split = 'train' group by 1, 2), w as (select corpus, language, pc * pl as p, n from pl join pc using (corpus) join n using (corpus, language)),
+ e as (select *, sum(p) over (order by corpus, language) / sum(p) over () as upper, row_number() over (order by corpus, language) = count(*) over () as last from w),
+ d as (select unnest(range(((select max(n / p) * sum(p) from w) * 3 + 20000)::bigint)) as position), u as (select position, ('0x' || substr(sha256('42:' || position::varchar), 1, 8))::bigint / 4294967296.0::double as u from d),
+ b as (select corpus, language, n, case when last then 2.0 else upper end as upper, coalesce(lag(upper) over (order by corpus, language), 0) as lower from e),
+ t as (select position, corpus, language, n, row_number() over (partition by corpus, language order by position) - 1 as turn from u asof join b on u.u >= b.lower)
+ select position, corpus, language, turn % n as row from t where position <= (select max(position) from t where turn = n - 1)""")
 def interleave_plan(spark: SparkSession, d: str) -> DataFrame:
-    """Leaves drawn by their weights until each is used up; no SQL, since the number of draws depends on the draws."""
+    """Leaves drawn by their weights until each is used up."""
     sizes = records(spark, d).filter("split = 'train'").groupBy("corpus", "language").agg(F.count(F.lit(1)).alias("n"))
     return sampling.interleave_plan(_leaf_weights(spark, d).join(sizes, ["corpus", "language"]), seed=42)
 
 
+@query(f"with {_LEAVES}, w as (select corpus, sum(h) as hours from leaf group by 1) select corpus, round(hours, 6) as hours, round(pow(hours / (select sum(hours) from w), 0.25), 9) as weight from w")
+def smoothed_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of hours smoothed without scaling to 1 again."""
+    state = metrics.group_state(records(spark, d), metrics.KEYS, ()).filter("split = 'train' and corpus is not null and language is not null")
+    out = sampling.smoothed_first(state.groupBy("corpus").agg(F.sum("hours").alias("hours")), 0.25)
+    return out.select("corpus", F.round("hours", 6).alias("hours"), F.round("weight", 9).alias("weight"))
+
+
 @query("select doc_id, row_number() over (order by sha256('42:' || doc_id::varchar), doc_id) - 1 as place from documents")
 def seeded_shuffle(spark: SparkSession, d: str) -> DataFrame:
     keyed = table(spark, d, "documents").select("doc_id", F.sha2(F.concat_ws(":", F.lit("42"), F.col("doc_id").cast("string")), 256).alias("k"))
@@ -236,17 +252,19 @@ def partition_inventory(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {_RECORDS} select corpus, split, language, count(*) as n_rows from records group by all")
 def dataset_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Records written in folders by corpus, split and language, and counted from what is read back."""
-    import uuid
-
     root = f"{shared_folder(spark)}/dataset-{uuid.uuid4().hex}"
     sinks.write_dataset(records(spark, d).select("text", *metrics.KEYS), root)
+    atexit.register(_remove, spark, root)
     counted = shards.read_dataset(spark, root).groupBy(*metrics.KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.select(*[F.col(k).cast("string").alias(k) for k in metrics.KEYS], "n_rows")
 
 
 @query(f"with {_RECORDS} select utt_id, text, duration_sec from records where corpus = 'tonefield' and split = 'train' and language = 'yor'")
 def one_leaf(spark: SparkSession, d: str) -> DataFrame:
-    return shards.read_leaf(records(spark, d), {"corpus": "tonefield", "split": "train", "language": "yor"}, ("utt_id", "text", "duration_sec"))
+    root = f"{shared_folder(spark)}/dataset-{uuid.uuid4().hex}"
+    sinks.write_dataset(records(spark, d).select("utt_id", "text", "duration_sec", *metrics.KEYS), root)
+    atexit.register(_remove, spark, root)
+    return shards.read_leaf(shards.read_dataset(spark, root), {"corpus": "tonefield", "split": "train", "language": "yor"}, ("utt_id", "text", "duration_sec"))
 
 
 _LINE = f"regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^[{texts.char_class(texts.SPACE, java=True)}]+|[{texts.char_class(texts.SPACE, java=True)}]+$', '', 'g')"
@@ -308,11 +326,19 @@ def unuttered_removal(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", texts.without_words("text", UNUTTERED).alias("text"))
 
 
-@query()
+# Phrases of one word and of two: of adjoining places where two-word phrases begin, every other one counts.
+_PAIRS = "(values " + ", ".join(f"('{k}', '{v}')" for k, v in PHRASES.items()) + ")"
+
+
+@query(f"""with docs as (select doc_id, text from documents where {LANGUAGE_SQL.format('lang')} = 'pcm'), phrases(k, v) as {_PAIRS}, lists as (select doc_id, list_filter(string_split({_FLAT}, ' '), lambda w: w <> '') as w from docs where text is not null),
+ tokens as (select doc_id, generate_subscripts(w, 1) as i, unnest(w) as t from lists), pairs as (select *, t || ' ' || lead(t) over (partition by doc_id order by i) as two from tokens),
+ begun as (select p.*, v as joined, v is not null as hit from pairs p left join phrases on k = two), islands as (select *, i - sum(hit::int) over (partition by doc_id order by i) as island from begun),
+ places as (select *, hit and row_number() over (partition by doc_id, hit, island order by i) % 2 = 1 as taken from islands), gone as (select *, coalesce(lag(taken) over (partition by doc_id order by i), false) as over from places),
+ done as (select doc_id, i, case when taken then joined else coalesce(v, t) end as t from gone left join phrases on k = t where not over)
+ select doc_id, case when any_value(text) is not null then coalesce(string_agg(t, ' ' order by i), '') end as text from docs left join done using (doc_id) group by doc_id""")
 def phrase_replacement(spark: SparkSession, d: str) -> DataFrame:
     """Pidgin documents with spoken variants replaced, longest phrase first."""
     rows = table(spark, d, "documents").filter(language_code("lang") == "pcm")
-
     return rows.select("doc_id", texts.with_phrases("text", PHRASES).alias("text"))
 
 
@@ -328,6 +354,26 @@ def text_normalized_eng(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", texts.normalized("text", F.lit("eng")).alias("text"))
 
 
+def _admitted(language: str) -> str:
+    """Characters whose decomposition stays within the alphabet of a language."""
+    alphabet = {*texts.LETTERS[language], *texts.MARKS[language], *"0123456789' "}
+    return texts.char_class("".join(c for c in map(chr, [*range(0x20, 0xD800), *range(0xE000, 0x10000)]) if alphabet.issuperset(unicodedata.normalize("NFD", c))), java=True)
+
+
+def _alphabetic(language: str) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return table(spark, d, "documents").select("doc_id", texts.normalized("text", F.lit(language)).alias("text"))
+
+    run.__name__ = f"text_normalized_{language}"
+    kept = f"regexp_replace({_CLEAN}, '[^{_admitted(language)}]', ' ', 'g')"
+    bare = f"regexp_replace({kept}, '(^| )[\\x{{300}}-\\x{{36f}}]+', '\\1', 'g')"
+    query(f"select doc_id, coalesce(trim(regexp_replace({bare}, ' +', ' ', 'g')), '') as text from documents")(run)
+
+
+for _name in ("yor", "ibo", "hau", "pcm"):
+    _alphabetic(_name)
+
+
 @query()
 def text_normalized(spark: SparkSession, d: str) -> DataFrame:
     """Utterances in the form of their language; needs Unicode forms that SQL engines do not share, so held against goldens."""
@@ -363,22 +409,39 @@ def tone_error_rate(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("prompt_id", F.when(~F.isnan(rate), F.round(rate, 9)).alias("rate"))
 
 
+# The chunks of a WAV, walked one by one in hexadecimal.
+_LE = "(('0x' || substr(h, 2 * ({at} + 1) + 1, 2))::bigint * 256 + ('0x' || substr(h, 2 * ({at}) + 1, 2))::bigint)"
+_LE4 = f"({_LE} + 65536 * {_LE.replace('{at}', '{at} + 2')})"
+_CHUNKS = f"""wavs as (select distinct utt_id, hex(audio.bytes) as h, octet_length(audio.bytes) as n from utterances where audio.bytes is not null),
+ chunks(utt_id, h, n, spot) as (select utt_id, h, n, 12::bigint from wavs where substr(h, 1, 8) = '52494646' and substr(h, 17, 8) = '57415645'
+  union all select utt_id, h, n, spot + 8 + {_LE4.format(at='spot + 4')} + {_LE4.format(at='spot + 4')} % 2 from chunks where spot + 8 <= n),
+ inside as (select utt_id, h, n, spot, substr(h, 2 * spot + 1, 8) as name, least({_LE4.format(at='spot + 4')}, n - spot - 8) as size from chunks where spot + 8 <= n),
+ formats as (select utt_id, min_by({_LE.format(at='spot + 8')}, spot) as kind, min_by({_LE.format(at='spot + 10')}, spot) as channels, min_by({_LE4.format(at='spot + 12')}, spot) as rate, min_by({_LE.format(at='spot + 22')}, spot) as bits from inside where name = '666D7420' and size >= 16 group by utt_id)"""
+
+
 def _level_sql(size: int, hop: int) -> str:
-    frame = f"list_transform(generate_series(1, len(embedding) - {size - 1}, {hop}), lambda i: sqrt(list_sum(list_transform(embedding[i:i + {size - 1}], lambda v: v::double * v::double)) / {size} + 1e-12))"
+    frame = f"list_transform(generate_series(1, len(x) - {size - 1}, {hop}), lambda i: sqrt(list_sum(list_transform(x[i:i + {size - 1}], lambda v: v * v)) / {size} + 1e-12))"
     rms = "sqrt(list_sum(list_transform({0}, lambda v: v * v)) / len({0}))"
-    return f"""with f as (select vec_id, {frame} as rms from embeddings), e as (select *, list_sort(rms) as s, (len(rms) - 1) * 0.1 as pos from f),
+    bodies = "bodies as (select utt_id, min_by(h, spot) as h, min(spot) as spot, min_by(size, spot) as size from inside where name = '64617461' group by utt_id)"
+    sample = _LE.format(at="spot + 8 + 2 * i")
+    return f"""with recursive {_CHUNKS}, {bodies}, fine as (select b.* from bodies b join formats f using (utt_id) where kind = 1 and channels = 1 and bits = 16 and rate > 0),
+ points as (select utt_id, list(case when v >= 32768 then v - 65536 else v end / 32768.0::double order by i) as x from (select utt_id, i, {sample} as v from (select utt_id, h, spot, unnest(range(size // 2)) as i from fine)) group by utt_id),
+ padded as (select utt_id, case when len(x) < {size} then list_concat(x, list_transform(range({size} - len(x)), lambda i: 0.0::double)) else x end as x from (select utt_id, coalesce(x, []) as x from fine left join points using (utt_id))),
+ f as (select utt_id, {frame} as rms from padded), e as (select *, list_sort(rms) as s, (len(rms) - 1) * 0.1 as pos from f),
  t as (select *, s[floor(pos)::int + 1] + (pos - floor(pos)) * (s[least(floor(pos)::int + 2, len(s))] - s[floor(pos)::int + 1]) as edge from e),
- n as (select *, list_filter(rms, lambda r: r <= edge) as quiet from t), q as (select *, {rms.format('quiet')} as noise from n),
+ m as (select *, list_filter(rms, lambda r: r <= edge) as quiet from t), q as (select *, {rms.format('quiet')} as noise from m),
  l as (select *, list_filter(rms, lambda r: r > noise * pow(10, 6 / 20.0)) as loud from q), p as (select *, case when len(loud) > 0 then loud else rms end as speech from l)
- select vec_id, round(20 * log10(greatest(noise, 1e-10)), 6) as noise_level_db, round(20 * log10(greatest({rms.format('speech')}, 1e-10)), 6) as speech_level_db,
+ select utt_id, round(20 * log10(greatest(noise, 1e-10)), 6) as noise_level_db, round(20 * log10(greatest({rms.format('speech')}, 1e-10)), 6) as speech_level_db,
  round(20 * log10(greatest({rms.format('speech')}, 1e-10)) - 20 * log10(greatest(noise, 1e-10)), 6) as snr_db, round(len(speech) / len(rms)::double, 6) as speech_ratio from p"""
 
 
-@query(_level_sql(16, 8))
+@query(_level_sql(64, 32))
 def level_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Embeddings stand in for waveforms: frames of 16 samples, 8 apart."""
-    rows = table(spark, d, "embeddings").select("vec_id", audio.frame_levels("embedding", 16, 8).alias("rms"))
-    return rows.select("vec_id", *[F.round(c, 6).alias(n) for n, c in audio.level_metrics("rms").items()])
+    """Levels of every excerpt at its own rate: frames of 64 samples, 32 apart."""
+    clips = table(spark, d, "utterances").groupBy("utt_id").agg(F.min("audio.bytes").alias("clip"))
+    rows = clips.select("utt_id", audio.waveform("clip").alias("x")).filter("x is not null")
+    levels = rows.select("utt_id", audio.frame_levels("x", 64, 32).alias("rms"))
+    return levels.select("utt_id", *[F.round(c, 6).alias(n) for n, c in audio.level_metrics("rms").items()])
 
 
 @query()
@@ -388,7 +451,7 @@ def clip_metrics(spark: SparkSession, d: str) -> DataFrame:
     return audio.with_metrics(rows).select("utt_id", *audio.METRICS)
 
 
-@query()
+@query(f"with recursive {_CHUNKS} select u.utt_id, rate::int as rate, channels::int as channels from utterances u left join (select distinct * from formats) f on u.utt_id = f.utt_id")
 def clip_headers(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "utterances").select("utt_id", F.col("audio.bytes").alias("content"))
     return audio.wav_header(rows, keep=("utt_id",))

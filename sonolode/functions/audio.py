@@ -201,6 +201,22 @@ def with_metrics(df: DataFrame, audio: str = "audio", framing: Framing = Framing
     return found.withColumns({audio: kept} | {m: F.col(f"__found.{m}") for m in METRICS}).drop("__found")
 
 
+def waveform(clip: Column | str) -> Column:
+    """Samples from -1 to 1 of a mono WAV, null for anything else."""
+
+    @F.arrow_udf("array<double>")
+    def run(clips: pa.Array) -> pa.Array:
+        out = []
+        for data in clips.to_pylist():
+            try:
+                out.append(decode_wav(data or b"")[0].astype(np.float64))
+            except ValueError:
+                out.append(None)
+        return pa.array(out, pa.list_(pa.float64()))
+
+    return run(_col(clip))
+
+
 def wav_header(df: DataFrame, content: str = "content", keep: tuple[str, ...] = ("path",)) -> DataFrame:
     """(kept columns, rate, channels) of WAV files read as binary, from their headers alone."""
 

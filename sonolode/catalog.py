@@ -440,15 +440,8 @@ def level_profile(spark: SparkSession, d: str) -> DataFrame:
     """Levels of every excerpt at its own rate: frames of 64 samples, 32 apart."""
     clips = table(spark, d, "utterances").groupBy("utt_id").agg(F.min("audio.bytes").alias("clip"))
     rows = clips.select("utt_id", audio.waveform("clip").alias("x")).filter("x is not null")
-    levels = rows.select("utt_id", audio.frame_levels("x", 64, 32).alias("rms"))
-    return levels.select("utt_id", *[F.round(c, 6).alias(n) for n, c in audio.level_metrics("rms").items()])
-
-
-@query()
-def clip_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """The six metrics of every excerpt."""
-    rows = table(spark, d, "utterances").select("utt_id", "audio")
-    return audio.with_metrics(rows).select("utt_id", *audio.METRICS)
+    levels = rows.select("utt_id", audio.level_struct(audio.frame_levels("x", 64, 32)).alias("m"))
+    return levels.select("utt_id", *[F.round(f"m.{n}", 6).alias(n) for n in ("noise_level_db", "speech_level_db", "snr_db", "speech_ratio")])
 
 
 @query(f"with recursive {_CHUNKS} select u.utt_id, rate::int as rate, channels::int as channels from utterances u left join (select distinct * from formats) f on u.utt_id = f.utt_id")

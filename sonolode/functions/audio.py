@@ -261,12 +261,28 @@ def interpolated(values: Column, share: float) -> Column:
     return low + (at - below) * (high - low)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often and within whatever lambda the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def level_struct(levels: Column | str, percentile: float = 10.0, speech_db: float = 6.0) -> Column:
+    """A struct of noise_level_db, speech_level_db, snr_db and speech_ratio of an array of frame levels."""
+
+    def noise_of(rms: Column) -> Column:
+        return _bound(interpolated(rms, percentile / 100), lambda edge: _root_mean_square(F.filter(rms, lambda r: r <= edge)))
+
+    def speech_of(rms: Column, noise: Column) -> Column:
+        return _bound(F.filter(rms, lambda r: r > noise * 10 ** (speech_db / 20)), lambda loud: F.when(F.size(loud) > 0, loud).otherwise(rms))
+
+    def told(rms: Column, noise: Column, speech: Column) -> Column:
+        quiet, level = (20 * F.log10(F.greatest(v, F.lit(1e-10))) for v in (noise, _root_mean_square(speech)))
+        return F.struct(quiet.alias("noise_level_db"), level.alias("speech_level_db"), (level - quiet).alias("snr_db"), (F.size(speech) / F.size(rms)).alias("speech_ratio"))
+
+    return _bound(_col(levels), lambda rms: _bound(noise_of(rms), lambda noise: _bound(speech_of(rms, noise), lambda speech: told(rms, noise, speech))))
+
+
 def level_metrics(levels: Column | str, percentile: float = 10.0, speech_db: float = 6.0) -> dict[str, Column]:
-    """noise_level_db, speech_level_db, snr_db and speech_ratio of an array of frame levels."""
-    rms = _col(levels)
-    edge = interpolated(rms, percentile / 100)
-    noise = _root_mean_square(F.filter(rms, lambda r: r <= edge))
-    loud = F.filter(rms, lambda r: r > noise * 10 ** (speech_db / 20))
-    speech = F.when(F.size(loud) > 0, loud).otherwise(rms)
-    db = [20 * F.log10(F.greatest(v, F.lit(1e-10))) for v in (noise, _root_mean_square(speech))]
-    return {"noise_level_db": db[0], "speech_level_db": db[1], "snr_db": db[1] - db[0], "speech_ratio": F.size(speech) / F.size(rms)}
+    """The fields of ``level_struct`` as columns of their own."""
+    found = level_struct(levels, percentile, speech_db)
+    return {n: found[n] for n in ("noise_level_db", "speech_level_db", "snr_db", "speech_ratio")}

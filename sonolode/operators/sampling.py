@@ -48,9 +48,9 @@ def numbered(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
 
 
 def smoothed_first(hours: DataFrame, beta: float, column: str = "hours") -> DataFrame:
-    """``hours`` with ``weight``: each share of the whole raised to ``beta``, and not scaled to 1 again."""
-    total = hours.agg(F.sum(column).alias("__total"))
-    return hours.crossJoin(F.broadcast(total)).withColumn("weight", F.pow(F.try_divide(F.col(column), F.col("__total")), F.lit(beta))).drop("__total")  # one row
+    """``hours``, one row per corpus or leaf, with ``weight``: each share of the whole raised to ``beta``, and not scaled to 1 again."""
+    total = F.sum(column).over(Window.partitionBy(F.lit(1)))
+    return hours.withColumn("weight", F.pow(F.try_divide(F.col(column), total), F.lit(beta)))
 
 
 def drawn_leaf(u: Column, bounds: Sequence[float]) -> Column:

@@ -195,10 +195,13 @@ def card_configs(spark: SparkSession, d: str) -> DataFrame:
     return sinks.card_configs(table(spark, d, "registry"))
 
 
-@query("""select corpus, repo_id, regexp_replace(regexp_replace(repo_id, '^invented/', ''), '/$', '') as tail, lower(coalesce(nullif(corpus, ''), split_part(repo_id, '/', -1))) as display from registry""")
+@query("""with a as (select corpus, repo_id, unnest(['', 'hf://datasets/', 'https://buckets/']) || repo_id || unnest(['', '/', '//']) as address from registry)
+ select corpus, repo_id, address, trim(regexp_replace(case when contains(address, '://') then substr(address, strpos(address, '://') + 3) else address end, '^(datasets/)?(buckets/)?', ''), '/') as name, lower(coalesce(nullif(corpus, ''), split_part(repo_id, '/', -1))) as display from a""")
 def display_names(spark: SparkSession, d: str) -> DataFrame:
-    tail = F.regexp_replace(F.regexp_replace("repo_id", "^invented/", ""), "/$", "")
-    return table(spark, d, "registry").select("corpus", "repo_id", tail.alias("tail"), projection.display_name(F.col("corpus"), F.col("repo_id")).alias("display"))
+    """Names of repositories from addresses of several kinds, and of what the corpora are shown as."""
+    forms = F.array(F.col("repo_id"), F.concat(F.lit("hf://datasets/"), "repo_id", F.lit("/")), F.concat(F.lit("https://buckets/"), "repo_id", F.lit("//")))
+    rows = table(spark, d, "registry").select("corpus", "repo_id", F.explode(forms).alias("address"))
+    return rows.select("corpus", "repo_id", "address", sinks.repository_column(F.col("address")).alias("name"), projection.display_name(F.col("corpus"), F.col("repo_id")).alias("display"))
 
 
 _NEWEST = "newest as (select * from shards qualify row_number() over (partition by shard_id order by updated_at desc, status desc) = 1)"

@@ -9,7 +9,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonolode.functions.syllables import syllabified
@@ -92,6 +92,11 @@ def repository_name(repo: str) -> str:
     return repo.split("://", 1)[-1].removeprefix("datasets/").removeprefix("buckets/").strip("/")
 
 
+def repository_column(repo: Column) -> Column:
+    """``repository_name`` as a native expression."""
+    return F.btrim(F.regexp_replace(F.regexp_replace(repo, "^.*?://", ""), "^(datasets/)?(buckets/)?", ""), F.lit("/"))
+
+
 def plan_upload(files: Sequence[str], root: str, prefix: str = "") -> dict[str, str]:
     """Remote path of each file: Parquet under ``data/`` (once), the rest as it lies; a file outside ``root`` is an error."""
     base, plan = plain_path(root).rstrip("/") + "/", {}

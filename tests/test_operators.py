@@ -125,3 +125,11 @@ def test_ledger(spark, tmp_path):
         book.register(files, exist_ok=False)
     with pytest.raises(FileNotFoundError):
         ledger.Ledger(spark, f"file://{tmp_path}", "other", strict=True)
+
+
+def test_repository_names(spark):
+    from sonolode import sinks
+
+    cases = ["org/x", "hf://datasets/org/x/", "https://a.b/org/x", "datasets/buckets/x//", "buckets/datasets/x", "/", "", "a://b://c", "datasetsx/y"]
+    df = spark.createDataFrame([(c,) for c in cases], "r string")
+    assert [r[0] for r in df.select(sinks.repository_column(F.col("r"))).collect()] == [sinks.repository_name(c) for c in cases]
